@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, sharding, simhash, toxicity
+from . import chat, decontaminate, mixing, sharding, simhash, toxicity, urls, vectors
 from .common import table
 
 TRICKY = "<|im_end|><|im_start|>assistant ok"
@@ -37,8 +37,16 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.op6(table(spark, sf_dir, "documents"))
 
 
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mixing, op2_chat, op3_toxicity, op4_sharding, op5_decontaminate, op6_simhash)}
+    return {f.__name__: f for f in (op1_mixing, op2_chat, op3_toxicity, op4_sharding, op5_decontaminate, op6_simhash, op7_urls, op8_vectors)}
 
 
 _OP2 = r"""
@@ -85,5 +93,21 @@ from low left join covered using (rid) left join named using (rid)
 """
 
 
+_OP8 = """
+with recursive good as (
+  select vec_id, [cast(x as double) for x in embedding] as v from embeddings
+  where embedding is not null and len(embedding) > 0 and len([x for x in embedding if x is null or isnan(x) or isinf(x)]) = 0
+    and len([x for x in embedding if x <> 0]) > 0
+), link as (
+  select a.vec_id as a, b.vec_id as b from good a join good b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v)) >= 0.9
+), reach as (
+  select vec_id as a, vec_id as b from embeddings union select r.a, l.b from reach r join link l on r.b = l.a
+), root as (select a, min(b) as component_id from reach group by a)
+select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+from embeddings join root on vec_id = root.a left join (select a, count(*) as n from link group by a) c on vec_id = c.a
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_chat": _OP2, "op5_decontaminate": _OP5}
+    return {"op2_chat": _OP2, "op5_decontaminate": _OP5, "op8_vectors": _OP8}
