@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +41,15 @@ def keep(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def share(spark: SparkSession, value):
+    """A broadcast whose value, instances of this package's classes too, opened() gives back in a task."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def opened(shared):
+    return cloudpickle.loads(shared.value)
+
+
 def with_columns(batch: pa.RecordBatch, **cols: pa.Array) -> pa.RecordBatch:
     """batch with columns replaced or appended."""
     names = [n for n in batch.schema.names if n not in cols]

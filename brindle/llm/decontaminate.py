@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import numbered, texts, with_columns
+from .common import numbered, opened, share, texts, with_columns
 
 WINDOW = 10
 SHINGLE = 5
@@ -138,11 +138,11 @@ def _blocks(benchmark: DataFrame, limit: int) -> Iterator[Block]:
         yield Block(rows)
 
 
-def _count(docs: DataFrame, shared) -> dict[int, np.ndarray]:
+def _count(docs: DataFrame, block: Block, shared) -> dict[int, np.ndarray]:
     """How often each shingle of the block occurs in all documents."""
 
     def run(batches):
-        block = shared.value
+        block = opened(shared)
         counts = {n: np.zeros(len(k), np.int64) for n, k in block.keys.items()}
         for b in batches:
             for part in texts(b.column(0)):
@@ -156,7 +156,7 @@ def _count(docs: DataFrame, shared) -> dict[int, np.ndarray]:
             at = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), n), pa.int32()), pa.array(at, pa.int64()), pa.array(c[at], pa.int64())], names=["n", "k", "c"])
 
-    out = {n: np.zeros(len(k), np.int64) for n, k in shared.value.keys.items()}
+    out = {n: np.zeros(len(k), np.int64) for n, k in block.keys.items()}
     # as many rows as the block has shingles, at most
     for r in docs.select("text").mapInArrow(run, "n int, k long, c long").groupBy("n", "k").agg(F.sum("c").alias("c")).toLocalIterator():
         out[r["n"]][r["k"]] = r["c"]
@@ -173,11 +173,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_windows: int = BL
     schema = T.StructType([out.schema[n] for n in plain] + added)
     first = True
     for block in _blocks(benchmark, block_windows):
-        shared = spark.sparkContext.broadcast(block)
-        counts = _count(docs, shared)
-        block.order(counts)
+        shared = share(spark, block)
+        block.order(_count(docs, block, shared))
         shared.unpersist()
-        out = out.mapInArrow(_mark(spark.sparkContext.broadcast(block), first), schema)
+        out = out.mapInArrow(_mark(share(spark, block), first), schema)
         first = False
     return out if not first else out.mapInArrow(_mark(None, True), schema)
 
@@ -186,7 +185,7 @@ def _mark(shared, first: bool):
     """Adds one block's spans and items to those of the blocks before."""
 
     def run(batches):
-        block = shared.value if shared else None
+        block = opened(shared) if shared else None
         for b in batches:
             at, step = b.schema.get_field_index("text"), 2048
             for lo in range(0, b.num_rows, step):
