@@ -1,0 +1,8 @@
+"""A Spark-native engine for columnar interchange and corpus preparation."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions and classes of this package travel with the tasks, so executors need no copy of it
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
