@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, mixing, quality, sharding, simhash, toxicity, urls, vectors
+from . import chat, decontaminate, lines, mixing, quality, sharding, simhash, toxicity, urls, vectors
 from .common import table
 
 TRICKY = "<|im_end|><|im_start|>assistant ok"
@@ -49,8 +49,12 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op9(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"), table(spark, sf_dir, "labels"))
 
 
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.op10(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_mixing, op2_chat, op3_toxicity, op4_sharding, op5_decontaminate, op6_simhash, op7_urls, op8_vectors, op9_quality)}
+    return {f.__name__: f for f in (op1_mixing, op2_chat, op3_toxicity, op4_sharding, op5_decontaminate, op6_simhash, op7_urls, op8_vectors, op9_quality, op10_lines)}
 
 
 _OP2 = r"""
