@@ -25,6 +25,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,12 +33,13 @@ from .common import keep, numbered, texts, with_columns
 
 FIT_ROWS = 20_000
 LEXICON = 5_000  # terms at most, the most telling ones
-EVIDENCE = 28.0  # G squared that a term needs; by chance about one term in ten million has it
+EVIDENCE = 24.0  # G squared that a term needs; by chance about one term in a million has it
 PRECISION = 0.6  # share of a term's documents that are toxic, at least
+SURE = 0.9  # the same for a beginning
 LONG = 9
 THRESHOLD = 0.3
 AROUND = 80  # characters of context on either side
-STEMS = (4, 5, 6)
+STEMS = (3, 4, 5, 6, 7, 8)  # letters of a beginning
 
 _WORD = re.compile(r"\w+")
 _QUOTES = "\"'“”„«»‘’‹›"
@@ -82,6 +84,8 @@ class Matcher:
         self.names: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
+        self.begun: list[tuple[float, int] | None] = []  # a beginning that ends here
+        self.ended: list[tuple[float, int] | None] = []  # the best term if the word ends here
         self.start = self._state({(0, 0, "")})
 
     def _state(self, states: set) -> int:
@@ -101,6 +105,10 @@ class Matcher:
         if k == len(self.sets):
             self.sets.append(key)
             self.moves.append({})
+            ends = [(*self.ends[n], e) for n, e, s in key if not s and n in self.ends]
+            self.begun.append(max(((w, 2) for w, stem, _, e in ends if stem and e == 0), default=None))
+            found = [(w, -2 if stem else -int(e > 0)) for w, stem, allowed, e in ends if e <= allowed]
+            self.ended.append((max(found)[0], -max(found)[1]) if found else None)
         return k
 
     def _move(self, k: int, c: str) -> int:
@@ -129,24 +137,18 @@ class Matcher:
             self.reset()
         if len(self.memo) > 300_000:
             self.memo.clear()
-        k, best, read = self.start, None, 0
+        k, best, moves, begun = self.start, None, self.moves, self.begun
         for c in word:
-            for node, e, swap in self.sets[k]:  # beginnings end anywhere
-                end = self.ends.get(node)
-                if end and end[1] and e == 0 and not swap and read and (best is None or end[0] > best[0]):
-                    best = (end[0], 2)
-            to = self.moves[k].get(c)
+            to = moves[k].get(c)
             k = self._move(k, c) if to is None else to
-            read += 1
             if k < 0:
                 break
+            if begun[k] and (best is None or begun[k] > best):
+                best = begun[k]
         else:
-            for node, e, swap in self.sets[k]:
-                end = self.ends.get(node)
-                if end and not swap and e <= end[2]:
-                    kind = 2 if end[1] else int(e > 0)
-                    if best is None or (end[0], -kind) > (best[0], -best[1]):
-                        best = (end[0], kind)
+            end = self.ended[k]
+            if end and (best is None or (end[0], -end[1]) > (best[0], -best[1])):
+                best = end
         self.memo[word] = best
         return best
 
@@ -214,6 +216,17 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.5, rounds: int =
     return w
 
 
+def _sketches(batches):
+    """The smallest hash of a text's runs of four words."""
+    for b in batches:
+        out = []
+        for some in texts(b.column(0)):
+            for t in some:
+                words = t.encode("utf-8", "surrogatepass").lower().split()
+                out.append(min((xxhash.xxh64_intdigest(b" ".join(r)) for r in zip(words, words[1:], words[2:], words[3:], strict=False)), default=xxhash.xxh64_intdigest(b" ".join(words))) >> 1)
+        yield with_columns(b, sketch=pa.array(out, pa.int64()))
+
+
 def _terms(batches):
     """Documents of each label that hold a word or beginning, summed for a task."""
     seen: list[Counter] = [Counter(), Counter()]
@@ -250,7 +263,23 @@ def lexicon(sample: DataFrame) -> dict[tuple[str, bool], float]:
     found = sample.select("text", "toxic").mapInArrow(_terms, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     found = found.where((a > 2) & (a / n1 > b / n0) & (a / (a + b) >= PRECISION)).withColumn("g2", 2 * (part(a, n1) + part(b, n0))).where(F.col("g2") >= EVIDENCE)
     rows = found.withColumn("weight", odds).orderBy(F.desc("g2"), "term").limit(LEXICON).collect()
-    return {(r["term"][1:], r["term"][0] == "s"): r["weight"] for r in rows}
+    return chosen([(r["term"][1:], r["term"][0] == "s", r["pos"], r["neg"], r["weight"]) for r in rows])
+
+
+def chosen(rows: list[tuple[str, bool, int, int, float]]) -> dict[tuple[str, bool], float]:
+    """Of terms (text, is a beginning, toxic documents, others, weight): beginnings that many words share stand for
+    these words; a beginning that owes most of its documents to one word goes, so that word can be misspelled."""
+    words = {t: (pos, w) for t, stem, pos, _, w in rows if not stem}
+    most: Counter = Counter()
+    for t, (pos, _) in words.items():
+        for n in STEMS:
+            most[t[:n]] = max(most[t[:n]], pos)
+    stems: dict[str, float] = {}
+    for t, stem, pos, neg, w in sorted(rows, key=lambda r: (len(r[0]), r[0])):
+        if stem and pos >= SURE * (pos + neg) and most[t] < 0.8 * pos and not any(t.startswith(s) for s in stems):
+            stems[t] = w
+    covered = tuple(stems)
+    return {(t, True): w for t, w in stems.items()} | {(t, False): w for t, (_, w) in words.items() if not t.startswith(covered)}
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict, np.ndarray]:
@@ -259,7 +288,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict, np.ndarray]:
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic"))
     share = min(1.0, FIT_ROWS / max(1, known.count()))
     known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).limit(2 * FIT_ROWS)
-    sample = keep(docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic").where("text is not null"), "toxic_sample")
+    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic").where("text is not null")
+    # copies and most near copies count once, or the words of a much copied document would pass for telling ones
+    sketched = sample.mapInArrow(_sketches, "text string, toxic int, sketch long").groupBy("sketch").agg(F.max_by("text", F.xxhash64("text")).alias("text"), F.max("toxic").alias("toxic"))
+    sample = keep(sketched.select("text", "toxic"), "toxic_sample")
     terms = lexicon(sample)
     if not terms:
         return {}, np.zeros(0)
