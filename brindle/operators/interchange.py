@@ -66,6 +66,15 @@ def read_arrow(spark: SparkSession, path: str, *, nulls: str = "compat", strict:
     return null_forms.apply(df, lambda f: None if f.name == ROW_INDEX else null_forms.on_read(f)) if compat else df
 
 
+def _make(folder: str, operation: str) -> None:
+    """The folder, before any task runs."""
+    fs, p = resolve(folder, operation)
+    try:
+        fs.create_dir(p, recursive=True)
+    except OSError as e:
+        raise CreateError(operation, str(e)) from e
+
+
 def write_arrow(df: DataFrame, path: str, *, single_file: bool | None = None, batch_rows: int | None = None, nulls: str = "compat", strict: bool = True, mode: str = "overwrite") -> str:
     """Writes df and returns the path.
 
@@ -84,6 +93,7 @@ def write_arrow(df: DataFrame, path: str, *, single_file: bool | None = None, ba
     single = path.lower().endswith(SUFFIXES) if single_file is None else single_file
     options = {"strict": str(strict)} | ({"batch_rows": str(batch_rows)} if batch_rows else {})
     if not single:
+        _make(path, operation)
         df.write.format("arrow_ipc").options(**options).mode(mode).save(path)
         return path
     if mode != "overwrite":
@@ -94,6 +104,7 @@ def write_arrow(df: DataFrame, path: str, *, single_file: bool | None = None, ba
     try:
         if fs.get_file_info(p).type == pafs.FileType.Directory:
             raise CreateError(operation, f"{path} is a folder")
+        _make(folder, operation)
         # sorting by nothing: one task reads the parts in order
         df.coalesce(1).write.format("arrow_ipc").options(**options).mode("append").save(folder)
         made = [f for f in fs.get_file_info(pafs.FileSelector(q)) if f.base_name.startswith("part-")]
