@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -12,27 +11,13 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.paths import scratch_root
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; only where that is unset (tests), one of our own."""
-    sc = spark.sparkContext
-    root = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    made = sc._jsc.sc().getCheckpointDir()
-    if made.isDefined():
-        return made.get().rstrip("/")
-    if not sc.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="brindle-")
-    sc.setCheckpointDir(root)
-    return root
-
-
 def keep(df: DataFrame, tag: str) -> DataFrame:
     """Write df to the shared scratch folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession

@@ -174,10 +174,11 @@ def perplexities(docs: DataFrame, labels: DataFrame) -> DataFrame:
         total = table.count()
         shards = -(-total // (SHARD // 2)) if total > SHARD else 1
         for s in range(shards):
-            part = table.where(F.pmod(F.xxhash64("gram"), F.lit(shards)) == s).select("gram", F.log("p").alias("l")).toPandas()
-            part = part.sort_values("gram")
-            if len(part):
-                plain = plain.mapInArrow(_sums(share(spark, (part["gram"].to_numpy(np.int64), part["l"].to_numpy(np.float64)))), schema)
+            part = table.where(F.pmod(F.xxhash64("gram"), F.lit(shards)) == s).select("gram", F.log("p").cast("float").alias("l")).toArrow()
+            grams, logs = (part.column(n).to_numpy() for n in ("gram", "l"))
+            order = np.argsort(grams)
+            if len(order):
+                plain = plain.mapInArrow(_sums(share(spark, (grams[order], logs[order]))), schema)
     else:
         plain = plain.withColumn("size", F.coalesce(F.length("text"), F.lit(0)).cast("long"))
     out = plain.select("doc_id", "lang", "size", F.when(F.col("size") > 0, F.exp(-F.col("log_sum") / F.col("size"))).alias("perplexity"))
