@@ -33,7 +33,7 @@ THRESHOLD = 0.9
 PASSES = 16
 BITS = 48
 WINDOW = 24
-BLOCK = 1024
+BLOCK = 256
 CENTRES = 50_000  # up to so many centres of large components are broadcast
 SEED = 7
 
