@@ -33,7 +33,7 @@ from .components import components
 
 EDITS = 2
 MIN_CHARS = 20
-LIVE = 4_000_000  # up to so many line ids are broadcast
+LIVE = 1_000_000  # up to so many line ids are broadcast
 HELD = 400_000  # line ids that a task remembers, to send a line's keys once
 
 

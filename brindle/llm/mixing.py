@@ -81,8 +81,10 @@ def thresholds(light: DataFrame) -> DataFrame:
         edge = edge.select(F.col("source").alias("s"), at.alias("bucket"), F.col("edge.used").alias("used"))
         # no bucket passes the budget: everything below the end of this level's range is taken
         joined = goal.join(edge, F.col("source").eqNullSafe(F.col("s")), "left")
-        end = F.lit((1 << 63) - 1) if level == 0 else F.col("below") + F.lit(1 << (shift + BITS))
-        goal = keep(joined.select("source", "source_size", "target", "whole", F.expr("budget - coalesce(used, 0)").alias("budget"), F.when(F.col("bucket").isNull(), end).otherwise(F.shiftleft("bucket", shift)).alias("below"), F.col("bucket").alias("edge")), f"edge{level}")
+        top = F.lit((1 << 63) - 1)
+        end = top if level == 0 else F.coalesce(F.try_add("below", F.lit(1 << (shift + BITS))), top)
+        start = F.when(F.col("bucket") < F.lit(1 << (63 - shift)), F.shiftleft("bucket", shift)).otherwise(top)
+        goal = keep(joined.select("source", "source_size", "target", "whole", F.expr("budget - coalesce(used, 0)").alias("budget"), F.when(F.col("bucket").isNull(), end).otherwise(start).alias("below"), F.col("bucket").alias("edge")), f"edge{level}")
         if level == LEVELS - 1:
             break
         # only rows of the boundary bucket are counted again, by the next bits of their hash

@@ -29,7 +29,7 @@ from .common import bounded, keep, opened, share, texts, with_columns
 ORDER = 5
 LOW, HIGH = 0.002, 0.995  # quantiles of the trusted documents of a language that bound what is kept
 SHARD = 2_000_000
-LABELS = 4_000_000  # up to so many trusted ids are broadcast
+LABELS = 1_000_000  # up to so many trusted ids are broadcast
 VOCABULARY = 4096
 _BITS, _PLAIN = 12, 3072
 

@@ -23,7 +23,7 @@ from bisect import bisect_left, insort
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep
+from .common import keep, numbered
 
 SHARDS = 16
 GRAIN = 1 / 16_384  # share of all bytes, or of all rows, above which a group is an item of its own
@@ -71,7 +71,8 @@ def pack(items: list[tuple[int, int]], bins: int) -> dict[int, int]:
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """docs with size, text_crc32, shard and slot (gapless from 0 in each shard)."""
     spark = docs.sparkSession
-    names = [n for n in docs.columns if n not in ("size", "text_crc32", "shard", "slot")]
+    inner, back = numbered(docs, "doc_id", "text")
+    back = [c for n, c in zip(docs.columns, back, strict=True) if n not in ("size", "text_crc32", "shard", "slot")]
     key = F.coalesce(F.sha2("text", 256), F.lit("null"))
     rows = docs.select("doc_id", size_of(F.col("text")).alias("size"), key.alias("key"))
     rows = keep(rows, "sizes")
@@ -111,10 +112,10 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
             places.append((c, to, upto[to]))
             upto[to] += cells[c]["n"]
     places = F.broadcast(spark.createDataFrame(places or [(0, 0, 0)], "cell long, shard int, base_slot long"))
-    out = docs.select(*[F.col(f"`{n}`") for n in names], size_of(F.col("text")).alias("size"), F.coalesce(F.crc32("text"), F.lit(0)).alias("text_crc32"), key.alias("key"))
+    out = inner.select("*", size_of(F.col("text")).alias("size"), F.coalesce(F.crc32("text"), F.lit(0)).alias("text_crc32"), key.alias("key"))
     own = Window.partitionBy("cell").orderBy("doc_id", "size", "text_crc32")
     out = with_cell(out).join(places, "cell").withColumn("slot", F.col("base_slot") + F.row_number().over(own) - 1)
-    return out.select(*[F.col(f"`{n}`") for n in names], "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))
+    return out.select(*back, "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))
 
 
 def op4(docs: DataFrame) -> DataFrame:

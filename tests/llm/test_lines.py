@@ -1,0 +1,95 @@
+import random
+
+import pytest
+
+from brindle.llm import lines as L
+from brindle.llm.common import Forest
+
+
+def _distance(a, b):
+    p = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        q = [i]
+        for j, y in enumerate(b, 1):
+            q.append(min(p[j] + 1, q[-1] + 1, p[j - 1] + (x != y)))
+        p = q
+    return p[-1]
+
+
+def _edit(rng, s, n):
+    s = list(s)
+    for _ in range(n):
+        i, k = rng.randrange(len(s)), rng.random()
+        if k < 0.34:
+            s[i] = rng.choice("xyz")
+        elif k < 0.67:
+            del s[i]
+        else:
+            s.insert(i, rng.choice("xyz"))
+    return "".join(s)
+
+
+def test_distance_and_segments():
+    rng = random.Random(1)
+    for _ in range(3000):
+        a = "".join(rng.choice("abé日") for _ in range(rng.randint(20, 45)))
+        b = _edit(rng, a, rng.randint(0, 4))
+        near = _distance(a, b) <= 2
+        assert L.within(a, b) == near and L.within(b, a) == near
+        if near and len(b) >= L.MIN_CHARS:
+            ka, kb = L._line_keys(a), L._line_keys(b)
+            assert {k for k, s in ka if s} & {k for k, _ in kb} or {k for k, s in kb if s} & {k for k, _ in ka}
+
+
+@pytest.fixture(scope="module")
+def case():
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice(["an", "er", "th", "on"]) for _ in range(rng.randint(1, 4)))
+    pool = [" ".join(word() for _ in range(rng.randint(2, 12))) for _ in range(60)]
+    docs = []
+    for i in range(150):
+        own = []
+        for _ in range(rng.randint(1, 6)):
+            s = rng.choice(pool) if rng.random() < 0.5 else " ".join(word() for _ in range(rng.randint(1, 12)))
+            own.append(_edit(rng, s, rng.randint(0, 3)) if rng.random() < 0.4 and len(s) > 5 else s)
+        docs.append((i, "\n".join(own)))
+    hot = "the very common line that many documents share"
+    docs += [(1000 + i, f"{_edit(rng, hot, i % 3)}\n\n{i}") for i in range(120)] + [(2000, None), (2001, ""), (2002, "\n \n"), (None, hot), (2003, "z" * 50_000), (2004, "z" * 50_001)]
+    return docs
+
+
+def _brute(docs):
+    first, f = {}, Forest()
+    names = sorted({x for _, t in docs for x in (t.split("\n") if t else []) if x.strip()})
+    for i, a in enumerate(names):
+        for j in range(i + 1, len(names)):
+            b = names[j]
+            if len(a) >= 20 and len(b) >= 20 and abs(len(a) - len(b)) <= 2 and (L.within(a, b) if len(a) > 500 else _distance(a, b) <= 2):
+                f.join(i, j)
+    group = {x: f.root(i) for i, x in enumerate(names)}
+    every = [((d is not None, d or 0), p, x) for d, t in docs for p, x in enumerate(t.split("\n") if t else [])]
+    for d, p, x in sorted(every):
+        if x.strip():
+            first.setdefault(group[x], (d, p))
+    out = {}
+    for d, t in docs:
+        own = [(x, bool(x.strip()) and first[group[x]] != ((d is not None, d or 0), p)) for p, x in enumerate(t.split("\n") if t else [])]
+        out[d] = (len(own), sum(r for _, r in own), sum(len(x) for x, r in own if not r)), "\n".join(x for x, r in own if not r)
+    return out
+
+
+def test_against_brute_force(spark, case):
+    want = _brute(case)
+    df = spark.createDataFrame(case, "doc_id long, text string")
+    got = {r.doc_id: (r.n_lines, r.n_repeated, r.kept_chars) for r in L.op10(df).collect()}
+    assert got == {d: w for d, (w, _) in want.items()} and sum(w[1] for w in got.values()) > 150
+    texts = {r.doc_id: r.text for r in L.dedup_lines(df).collect()}
+    assert {d: t or "" for d, t in texts.items()} == {d: t for d, (_, t) in want.items()}
+
+
+def test_odd_rows_and_empty(docs, clashing, empty):
+    got = L.op10(docs).collect()
+    assert len(got) == docs.select("doc_id").distinct().count()
+    out = L.dedup_lines(clashing)
+    assert out.columns == clashing.columns and out.count() == clashing.count()
+    assert L.op10(empty).count() == 0 and L.dedup_lines(empty).count() == 0
