@@ -13,6 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from brindle.functions.paths import drop
 from brindle.llm import decontaminate, mixing, sharding, simhash, toxicity
 from brindle.llm.common import scratch_root, table
 
@@ -43,10 +44,12 @@ ORACLE_SQL = None  # SimHash, learned scores and hash thresholds aren't SQL; tes
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     folder = f"{scratch_root(spark)}/brindle/pipeline-{uuid.uuid4().hex}"
     for i, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{i}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if last:  # what a stage has read isn't needed any more
+            drop(spark, last)
+        docs, last = spark.read.parquet(path), path
     return docs
