@@ -78,3 +78,15 @@ def scratch_root(spark) -> str:
 
 def scratch(spark, tag: str, suffix: str = "") -> str:
     return f"{scratch_root(spark)}/brindle/{tag}-{uuid.uuid4().hex}{suffix}"
+
+
+def drop(spark, path: str) -> None:
+    """Removes a folder, wherever Spark can reach it."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def sweep(spark) -> None:
+    """Removes all scratch tables; call it when no DataFrame that reads them is in use any more."""
+    drop(spark, f"{scratch_root(spark)}/brindle")
