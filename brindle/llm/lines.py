@@ -11,7 +11,8 @@ task. Keys that only one line has are dropped; what is left names the lines that
 Only those lines' texts are then read and dealt out by key, where they are verified by a banded edit
 distance: the 2 * EDITS + 1 diagonals are compared bit-parallel, as whole-line XORs, and the furthest
 reach of each number of edits is extended along them. A task emits one link for a line that joins a
-cluster, never all pairs.
+cluster, never all pairs. A key with more than ``HOT`` lines is cut into blocks, each two of which are one
+task's work, so none is lost and no task holds more.
 
 Links and equal lines form classes (connected components). Of a class the first line, by doc_id and
 place, stays; shorter lines are only compared for equality, blank lines stay.
@@ -34,6 +35,7 @@ from .components import components
 EDITS = 2
 MIN_CHARS = 20
 LIVE = 1_000_000  # up to so many line ids are broadcast
+HOT = 8_192  # lines of a key that are verified in one task; more are cut into blocks
 HELD = 400_000  # line ids that a task remembers, to send a line's keys once
 
 
@@ -259,6 +261,17 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
 
 
+def _in_blocks(shared: DataFrame) -> DataFrame:
+    """The lines of a key with more than HOT of them, in blocks: a key for each two blocks, so every two lines still meet."""
+    hot = keep(shared.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select(F.col("key").alias("hot"), F.ceil(F.col("n") * 2 / HOT).cast("int").alias("blocks")), "hot_line_keys")
+    if hot.isEmpty():
+        return shared
+    rows = shared.join(F.broadcast(hot) if bounded(hot, LIVE) else hot, F.col("key") == F.col("hot"), "left")
+    own = F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int")
+    pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.xxhash64("key", F.least(own, j), F.greatest(own, j)))
+    return rows.select(F.explode(F.when(F.col("hot").isNull(), F.array("key")).otherwise(pair)).alias("key"), "line")
+
+
 def near_lines(docs: DataFrame) -> DataFrame:
     """docs(text) -> (a, b): links between ids of different lines; their components are those of all near pairs."""
     keyed = docs.select("text").mapInArrow(_keys, "key long, line long, stored boolean")
@@ -268,7 +281,7 @@ def near_lines(docs: DataFrame) -> DataFrame:
     near = F.broadcast(live) if bounded(live, LIVE) else live
     found = docs.select("text").mapInArrow(_texts_of, "line long, text string").join(near, "line", "left_semi")
     found = keep(found.groupBy("line").agg(F.first("text").alias("text")), "line_texts")
-    dealt = shared.join(found, "line").select("key", "line", "text")
+    dealt = _in_blocks(shared).join(found, "line").select("key", "line", "text")
     return dealt.repartition("key").sortWithinPartitions("key", "line").mapInArrow(_verify, "a long, b long")
 
 
@@ -303,12 +316,12 @@ def marked_lines(docs: DataFrame) -> DataFrame:
 
 
 def op10(docs: DataFrame) -> DataFrame:
-    """One row for each doc_id: n_lines, n_repeated, kept_chars, n_classes (of its repeated lines)."""
+    """One row for each doc_id: n_lines, n_repeated, kept_chars."""
     lines = marked_lines(docs)
-    got = lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum(F.col("repeated").cast("long")).alias("n_repeated"), F.sum(F.when(F.col("repeated"), 0).otherwise(F.col("size"))).alias("kept_chars"), F.collect_set(F.when(F.col("repeated"), F.col("class"))).alias("c"))
+    got = lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum(F.col("repeated").cast("long")).alias("n_repeated"), F.sum(F.when(F.col("repeated"), 0).otherwise(F.col("size"))).alias("kept_chars"))
     all_ids = docs.select("doc_id").distinct().withColumnRenamed("doc_id", "id")
     out = all_ids.join(got, F.col("id").eqNullSafe(F.col("doc_id")), "left")
-    return out.select(F.col("id").alias("doc_id"), *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("n_lines", "n_repeated", "kept_chars")], F.coalesce(F.size("c"), F.lit(0)).cast("long").alias("n_classes"))
+    return out.select(F.col("id").alias("doc_id"), *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("n_lines", "n_repeated", "kept_chars")])
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:

@@ -30,6 +30,7 @@ ORDER = 5
 LOW, HIGH = 0.002, 0.995  # quantiles of the trusted documents of a language that bound what is kept
 SHARD = 2_000_000
 LABELS = 1_000_000  # up to so many trusted ids are broadcast
+LANGUAGES = 100_000  # up to so many languages' quantiles are broadcast
 VOCABULARY = 4096
 _BITS, _PLAIN = 12, 3072
 
@@ -192,7 +193,8 @@ def op9(docs: DataFrame, labels: DataFrame) -> DataFrame:
     scored = keep(perplexities(docs, labels), "perplexity")
     both = lambda: F.percentile_approx("perplexity", F.array(F.lit(LOW), F.lit(HIGH)), F.lit(10_000)).alias("q")
     fine = scored.where("trusted and perplexity is not null")
-    by_lang = F.broadcast(fine.groupBy(F.col("lang").alias("l")).agg(both()))  # a row for each language
+    by_lang = keep(fine.groupBy(F.col("lang").alias("l")).agg(both()), "quantiles")
+    by_lang = F.broadcast(by_lang) if bounded(by_lang, LANGUAGES) else by_lang
     any_ = fine.agg(both()).first()["q"] or [0.0, float("inf")]
     out = scored.join(by_lang, scored["lang"].eqNullSafe(F.col("l")), "left")
     low, high = F.coalesce(F.col("q")[0], F.lit(float(any_[0]))), F.coalesce(F.col("q")[1], F.lit(float(any_[1])))

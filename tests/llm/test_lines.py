@@ -78,7 +78,9 @@ def _brute(docs):
     return out
 
 
-def test_against_brute_force(spark, case):
+@pytest.mark.parametrize("hot", [L.HOT, 10])
+def test_against_brute_force(spark, case, hot, monkeypatch):
+    monkeypatch.setattr(L, "HOT", hot)  # 10: keys of many lines are verified in blocks
     want = _brute(case)
     df = spark.createDataFrame(case, "doc_id long, text string")
     got = {r.doc_id: (r.n_lines, r.n_repeated, r.kept_chars) for r in L.op10(df).collect()}
