@@ -30,7 +30,7 @@ from .common import numbered, opened, share, texts, with_columns
 
 WINDOW = 10
 SHINGLE = 5
-BLOCK_WINDOWS = 500_000
+BLOCK_WINDOWS = 100_000
 
 #: 0-9, A-Z (lowered), a-z and everything from 0x80 are parts of words
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
