@@ -21,6 +21,7 @@ from ..errors import ArrowIpcError, BadArgument, CreateError
 from ..functions import nulls as null_forms
 from ..functions.metadata import BatchInfo, OpenedFile
 from ..functions.paths import SUFFIXES, data_files, plain, resolve
+from ..functions.times import ntz_of_micros
 from ..functions.types import spark_to_arrow
 from ..sources.arrow_ipc import ROW_INDEX, ArrowIpcDataSource, Options, columns_of
 from ..sources.splay import SplayDataSource, code_of, layout
@@ -184,8 +185,8 @@ def arrow_batches(path: str, *, strict: bool = True, operation: str = "arrow_rea
 
 def timestamp_of_days(days: Column) -> Column:
     """Fractional days since 2000 as a timestamp, to the microsecond; NaN is null."""
-    micros = F.round((days + F.lit(10_957)) * F.lit(86_400_000_000.0)).cast("long")
-    return F.when(~F.isnan(days), F.timestamp_micros(micros).cast("timestamp_ntz"))
+    micros = F.round((F.nanvl(days, F.lit(0.0)) + F.lit(10_957)) * F.lit(86_400_000_000.0)).cast("long")
+    return F.when(~F.isnan(days), ntz_of_micros(micros))
 
 
 def as_uint8(df: DataFrame, *names: str) -> DataFrame:

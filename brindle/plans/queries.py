@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..errors import ArrowIpcError
 from ..functions.paths import resolve, scratch
+from ..functions.times import micros_of, ntz_of_micros
 from ..operators.interchange import arrow_batches, as_uint8, read_arrow, read_splay, stream_arrow, timestamp_of_days, write_arrow
 from ..streaming.batches import read_arrow_stream
 
@@ -79,12 +80,8 @@ def rt_utf8_null(spark, d):
     return round_trip(table(spark, d, "events").select("event_id", F.nullif("event_type", F.lit("click")).alias("s")))
 
 
-def micros() -> Column:
-    return F.unix_micros(F.col("ts").cast("timestamp"))
-
-
 def day_micros() -> Column:
-    return F.pmod(micros(), F.lit(86_400_000_000))
+    return F.pmod(micros_of(F.col("ts")), F.lit(86_400_000_000))
 
 
 def rt_embeddings(spark, d):
@@ -137,7 +134,7 @@ def rt_time_s_scaled(spark, d):
 
 def _ts(unit: str, per: int):
     def run(spark, d):
-        p = F.timestamp_micros(F.floor(micros() / per).cast("long") * per).cast("timestamp_ntz")
+        p = ntz_of_micros(F.floor(micros_of(F.col("ts")) / per).cast("long") * per)
         df = table(spark, d, "events").select("event_id", p.alias("p"))
         return read_arrow(spark, foreign(df, _cast(p=pa.timestamp(unit))))
 

@@ -33,6 +33,16 @@ def test_query(spark, duck, data, name):
     assert _sorted(got) == _sorted(tuple(r[i] for i in at) for r in want.fetchall())
 
 
+@pytest.mark.parametrize("name", ["rt_time_ms", "rt_ts_s", "rt_duration_ms", "rt_datetime_oneway", "rt_events"])
+def test_any_time_zone(spark, duck, data, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        test_query(spark, duck, data, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_contract(spark):
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
     assert __spark_entry__.entry(spark).count() > 0
