@@ -152,57 +152,51 @@ def _keys(batches):
     yield batch()
 
 
+class _Run:
+    """A key's run of rows that may lie across batches: its lines are held back until a second one, and a stored one, is seen."""
+
+    def __init__(self):
+        self.lines = np.zeros(0, np.int64)
+        self.stored = self.passed = False
+
+    def add(self, line: np.ndarray, stored: np.ndarray) -> np.ndarray:
+        """The lines to pass on now."""
+        own = np.unique(line)
+        self.stored = self.stored or bool(stored.any())
+        if self.passed:
+            return own
+        self.lines = np.unique(np.concatenate((self.lines, own)))
+        if len(self.lines) < 2 or not self.stored:
+            return own[:0]
+        self.passed, held, self.lines = True, self.lines, own[:0]
+        return held
+
+
 def _shared_keys(batches):
     """Sorted by key, then line -> (key, line) of keys that two or more lines have, one of them stored."""
-    last: tuple | None = None  # key, line, stored of the row before; whether its key was passed on
-    passed, any_stored, first = False, False, None
+    at, run = None, _Run()
     for b in batches:
         if not b.num_rows:
             continue
         key, line = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
         stored = b.column(2).to_numpy(zero_copy_only=False)
-        out_k, out_l = [], []
         starts, sizes = runs(key)
-        if last is not None and key[0] == last[0]:
-            starts0, n0 = 0, int(sizes[0])
-        else:
-            starts0, n0, last, passed, any_stored, first = 0, 0, None, False, False, None
-        # runs that lie whole inside this batch and aren't its last, all at once
-        inner = np.arange(1 if n0 else 0, len(starts) - 1)
-        if n0:
-            ks, ls, st = key[:n0], line[:n0], stored[:n0]
-            first, any_stored, passed = _go_on(ks, ls, st, first, any_stored, passed, out_k, out_l)
+        out = []
+        goes_on = at is not None and key[0] == at
+        if goes_on:
+            out.append((key[0], run.add(line[: sizes[0]], stored[: sizes[0]])))
+        # runs that lie whole inside this batch, all at once; the last one may go on in the next
+        inner = np.arange(int(goes_on), len(starts) - 1)
         if len(inner):
             s, n = starts[inner], sizes[inner]
-            lo, hi = line[s], line[s + n - 1]
-            good = (lo != hi) & (np.add.reduceat(stored[: starts[inner[-1] + 1]].astype(np.int64), s) > 0)
-            for a, c in zip(s[good].tolist(), n[good].tolist(), strict=True):
-                own = np.unique(line[a : a + c])
-                out_k.append(np.full(len(own), key[a]))
-                out_l.append(own)
-        if len(starts) > 1 or not n0:
-            s = int(starts[-1])
-            first, any_stored, passed = _go_on(key[s:], line[s:], stored[s:], None, False, False, out_k, out_l)
-        last = (key[-1],)
-        if out_k:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_k)), pa.array(np.concatenate(out_l))], names=["key", "line"])
-
-
-def _go_on(key, line, stored, first, any_stored, passed, out_k, out_l):
-    """A run that may lie across batches: its lines are held back until a second one, and a stored one, is seen."""
-    own = np.unique(line)
-    held = first if first is not None else np.zeros(0, np.int64)
-    any_stored = any_stored or bool(stored.any())
-    if passed:
-        out_k.append(np.full(len(own), key[0]))
-        out_l.append(own)
-        return first, any_stored, True
-    held = np.unique(np.concatenate((held, own)))
-    if len(held) > 1 and any_stored:
-        out_k.append(np.full(len(held), key[0]))
-        out_l.append(held)
-        return None, any_stored, True
-    return held, any_stored, False
+            with_stored = np.add.reduceat(stored[: starts[inner[-1] + 1]].astype(np.int64), s) > 0
+            good = (line[s] != line[s + n - 1]) & with_stored
+            out += [(key[i], np.unique(line[i : i + c])) for i, c in zip(s[good].tolist(), n[good].tolist(), strict=True)]
+        if len(starts) > 1 or not goes_on:
+            at, run = key[-1], _Run()
+            out.append((at, run.add(line[starts[-1] :], stored[starts[-1] :])))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array([k for k, _ in out]), [len(x) for _, x in out])), pa.array(np.concatenate([x for _, x in out]))], names=["key", "line"])
 
 
 def _texts_of(batches):

@@ -95,3 +95,22 @@ def test_odd_rows_and_empty(docs, clashing, empty):
     out = L.dedup_lines(clashing)
     assert out.columns == clashing.columns and out.count() == clashing.count()
     assert L.op10(empty).count() == 0 and L.dedup_lines(empty).count() == 0
+
+
+def test_shared_keys_over_any_batches():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    rows = sorted((int(k), int(v), bool(s)) for k, v, s in zip(rng.integers(0, 60, 600), rng.integers(0, 6, 600), rng.random(600) < 0.2, strict=True))
+    rows = [r for r in rows if r[0] % 3 or r[1] == 0]  # some keys have one line only
+    by = {}
+    for k, v, s in rows:
+        by.setdefault(k, [set(), False])
+        by[k][0].add(v)
+        by[k][1] |= s
+    want = {(k, v) for k, (vs, s) in by.items() if len(vs) > 1 and s for v in vs}
+    whole = pa.table({"key": [r[0] for r in rows], "line": [r[1] for r in rows], "stored": [r[2] for r in rows]})
+    for size in (1, 2, 7, 100, 1000):
+        out = [t for b in L._shared_keys(whole.to_batches(size)) for t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+        assert set(out) == want
