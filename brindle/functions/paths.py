@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
 import uuid
 
 import pyarrow as pa
@@ -69,11 +72,10 @@ def scratch_root(spark) -> str:
         return made.get().rstrip("/")
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    import tempfile
-
     root = tempfile.mkdtemp(prefix="brindle-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
     sc.setCheckpointDir(root)
-    return root
+    return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
 def scratch(spark, tag: str, suffix: str = "") -> str:

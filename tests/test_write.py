@@ -110,3 +110,15 @@ def test_million_rows(spark, tmp_path):
 def test_row_order_is_kept(spark, tmp_path):
     path = brindle.write_arrow(spark.range(0, 5000, 1, 7).orderBy("id"), str(tmp_path / "x.arrow"), batch_rows=77)
     assert collected(brindle.read_arrow(spark, path, row_index=True, target_bytes=1000), ["id"]) == [list(range(5000))]
+
+
+def test_scratch_is_swept(spark):
+    from brindle.functions.paths import data_files, scratch, scratch_root
+
+    path = scratch(spark, "x")
+    assert path.startswith(scratch_root(spark))
+    brindle.write_arrow(spark.range(3), path)
+    assert data_files(path, "x")
+    brindle.sweep(spark)
+    with pytest.raises(brindle.OpenError):
+        data_files(path, "x")
