@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +34,8 @@ from .common import keep, numbered, texts, with_columns
 
 FIT_ROWS = 20_000
 LEXICON = 5_000  # terms at most, the most telling ones
-EVIDENCE = 24.0  # G squared that a term needs; by chance about one term in a million has it
+CHANCE = 0.5  # terms that chance alone may bring into the lexicon; sets the evidence (G squared) that a term needs
+LEAST_DOCUMENTS = 3  # that hold a term, for it to be tried
 PRECISION = 0.6  # share of a term's documents that are toxic, at least
 SURE = 0.9  # the same for a beginning
 LONG = 9
@@ -261,7 +263,9 @@ def lexicon(sample: DataFrame) -> dict[tuple[str, bool], float]:
 
     odds = F.log((a + 0.5) / (n1 - a + 0.5)) - F.log((b + 0.5) / (n0 - b + 0.5))
     found = sample.select("text", "toxic").mapInArrow(_terms, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    found = found.where((a > 2) & (a / n1 > b / n0) & (a / (a + b) >= PRECISION)).withColumn("g2", 2 * (part(a, n1) + part(b, n0))).where(F.col("g2") >= EVIDENCE)
+    tried = keep(found.where(a + b >= LEAST_DOCUMENTS), "toxic_terms")
+    evidence = NormalDist().inv_cdf(1 - min(0.5, CHANCE / max(1, tried.count())) / 2) ** 2
+    found = tried.where((a / n1 > b / n0) & (a / (a + b) >= PRECISION)).withColumn("g2", 2 * (part(a, n1) + part(b, n0))).where(F.col("g2") >= evidence)
     rows = found.withColumn("weight", odds).orderBy(F.desc("g2"), "term").limit(LEXICON).collect()
     return chosen([(r["term"][1:], r["term"][0] == "s", r["pos"], r["neg"], r["weight"]) for r in rows])
 
