@@ -146,9 +146,9 @@ def _keys(batches):
                     keys += [k for k, _ in own]
                     stored += [s for _, s in own]
                     ids += [h] * len(own)
-            if len(keys) > 200_000:
-                yield batch()
-                keys, ids, stored = [], [], []
+                    if len(keys) > 200_000:
+                        yield batch()
+                        keys, ids, stored = [], [], []
     yield batch()
 
 
@@ -213,9 +213,9 @@ def _texts_of(batches):
                         seen.add(h)
                         ids.append(h)
                         out.append(line)
-            if len(ids) > 20_000:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.string())], names=["line", "text"])
-                ids, out = [], []
+                if len(ids) > 5_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.string())], names=["line", "text"])
+                    ids, out = [], []
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.string())], names=["line", "text"])
 
 
@@ -283,7 +283,7 @@ def _occurrences(batches):
     for b in batches:
         ids = b.column(0)
         at = 0
-        for some in texts(b.column(1)):
+        for some in texts(b.column(1), 32):
             own, place, line, size = [], [], [], []
             for j, t in enumerate(some):
                 for i, x in enumerate(split_lines(t)):
