@@ -30,13 +30,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Forest, keep, numbered, runs, texts
+from .common import Forest, bounded, keep, numbered, runs, texts
 from .components import components
 
 K = 3
 SHINGLE = 3
 SEED = 42
 HOT = 4096
+DROPPED = 1_000_000  # up to so many doc_ids that go are broadcast; beyond, rows are joined by doc_id
 SAMPLE = 20_000  # fingerprints from which candidate counts are estimated
 ROW_COST, PAIR_COST = 2e-6, 2e-8  # seconds for a row that is dealt out, for a pair that is compared
 
@@ -333,12 +334,19 @@ def op6(docs: DataFrame) -> DataFrame:
 def dedup(docs: DataFrame) -> DataFrame:
     """One row of docs for each component, that of the smallest doc_id; rows without a doc_id stay, as nothing names them."""
     each, classes = _components(docs)
-    first = each.join(classes, "fp").where("doc_id = component_id").select(F.col("doc_id").alias("first_id")).distinct()
+    first = keep(each.join(classes, "fp").where("doc_id = component_id").select("doc_id").distinct(), "kept")
+    counts = each.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
+    odd = counts.join(first.withColumn("stays", F.lit(True)), "doc_id", "left").where("n > 1 or stays is null")
+    odd = keep(odd.select(F.col("doc_id").alias("odd_id"), F.coalesce("stays", F.lit(False)).alias("stays")), "not_single")
     inner, back = numbered(docs, "doc_id")
-    kept = inner.join(keep(first, "kept"), inner["doc_id"] == F.col("first_id"), "left").where("first_id is not null or doc_id is null")
+    near = F.broadcast(odd) if bounded(odd, DROPPED) else odd
+    # rows whose doc_id stands once and stays, or is null, pass by; of a repeated one that stays, one row does
+    single = inner.join(near, inner["doc_id"] == F.col("odd_id"), "left_anti").select(*back)
+    if odd.where("stays").isEmpty():
+        return single
     one = Window.partitionBy("doc_id").orderBy(F.lit(1))
-    named = kept.where("doc_id is not null").withColumn("place_", F.row_number().over(one)).where("place_ = 1")
-    return named.select(*back).unionAll(kept.where("doc_id is null").select(*back))
+    again = inner.join(near.where("stays"), inner["doc_id"] == F.col("odd_id")).withColumn("place_", F.row_number().over(one)).where("place_ = 1")
+    return single.unionAll(again.select(*back))
 
 
 def signed(spark: SparkSession, values: list[int]) -> DataFrame:
