@@ -18,9 +18,12 @@ trusted text every document that has characters is kept. Repeated rows are answe
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,21 +36,40 @@ LABELS = 1_000_000  # up to so many trusted ids are broadcast
 LANGUAGES = 100_000  # up to so many languages' quantiles are broadcast
 VOCABULARY = 4096
 _BITS, _PLAIN = 12, 3072
-
-
-def codes(some: list) -> tuple[np.ndarray, np.ndarray]:
-    """(the gram that ends at each character, index of its text) for a few texts."""
-    sizes = np.array([len(t) if t else 0 for t in some], np.int64)
-    pad = "\x01" * (ORDER - 1)
-    c = np.frombuffer("".join(pad + (t or "") for t in some).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-    c = np.where(c < _PLAIN, c, _PLAIN + (c * 2_654_435_761 >> 8) % (VOCABULARY - _PLAIN))
-    g = np.zeros(len(c), np.int64)
-    for i in range(ORDER):
-        g[ORDER - 1 :] |= c[ORDER - 1 - i : len(c) - i] << (_BITS * i)
-    own = np.repeat(np.arange(len(some)), sizes + ORDER - 1)
+PIECE = 1_000_000  # characters that a task works on at a time
+
+
+def pieces(column: pa.Array, limit: int = PIECE) -> Iterator[list[tuple[int, str, str]]]:
+    """(row, characters before, characters) of all texts, at most `limit` characters at a time."""
+    held, n, row = [], 0, 0
+    for some in texts(column, 64):
+        for t in some:
+            t = t or ""
+            for at in range(0, len(t), limit):
+                part = t[at : at + limit]
+                if held and n + len(part) > limit:
+                    yield held
+                    held, n = [], 0
+                held.append((row, t[max(0, at - ORDER + 1) : at].rjust(ORDER - 1, "\x01"), part))
+                n += len(part)
+            row += 1
+    if held:
+        yield held
+
+
+def codes(some: list[tuple[int, str, str]]) -> tuple[np.ndarray, np.ndarray]:
+    """(the gram that ends at each character, its row) for some pieces."""
+    sizes = np.array([len(t) for _, _, t in some], np.int64)
+    c = np.frombuffer("".join(before + t for _, before, t in some).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    far = np.flatnonzero(c >= _PLAIN)
+    c[far] = _PLAIN + (c[far] * 2_654_435_761 >> 8) % (VOCABULARY - _PLAIN)
+    g = c.copy()
+    for i in range(1, ORDER):
+        g[i:] |= c[:-i] << (_BITS * i)
     starts = np.cumsum(sizes + ORDER - 1) - (sizes + ORDER - 1)
-    real = np.arange(len(c)) - starts[own] >= ORDER - 1
-    return g[real], own[real]
+    real = np.ones(len(c), bool)
+    real[(starts[:, None] + np.arange(ORDER - 1)).ravel()] = False
+    return g[real], np.repeat(np.array([r for r, _, _ in some]), sizes)
 
 
 def _grams(batches):
@@ -55,7 +77,7 @@ def _grams(batches):
     table = pd.Series(dtype=np.int64)
     parts, n = [], 0
     for b in batches:
-        for some in texts(b.column(0), 64):
+        for some in pieces(b.column(0)):
             g, _ = codes(some)
             where, kinds = pd.factorize(g)
             parts.append(pd.Series(np.bincount(where, minlength=len(kinds)), index=kinds))
@@ -141,17 +163,18 @@ def _sums(shared):
         grams, logs = opened(shared)
         for b in batches:
             had = b.column(b.schema.get_field_index("log_sum")).to_numpy(zero_copy_only=False)
-            out, size, at = [], [], 0
-            for some in texts(b.column(b.schema.get_field_index("text")), 64):
+            column = b.column(b.schema.get_field_index("text"))
+            out = np.array(had)
+            for some in pieces(column):
                 g, own = codes(some)
                 where, kinds = pd.factorize(g)
-                spot = np.minimum(np.searchsorted(grams, kinds), len(grams) - 1)
+                order = np.argsort(kinds)
+                spot = np.empty(len(kinds), np.int64)
+                spot[order] = np.minimum(np.searchsorted(grams, kinds[order]), len(grams) - 1)
                 value = np.where(grams[spot] == kinds, logs[spot], 0.0)
-                out.append(np.bincount(own, weights=value[where], minlength=len(some)) + had[at : at + len(some)])
-                size.append(np.array([len(t) if t else 0 for t in some], np.int64))
-                at += len(some)
-            if at:
-                yield with_columns(b, log_sum=pa.array(np.concatenate(out)), size=pa.array(np.concatenate(size)))
+                out += np.bincount(own, weights=value[where], minlength=len(out))
+            size = pc.fill_null(pc.cast(pc.utf8_length(column), pa.int64()), 0)
+            yield with_columns(b, log_sum=pa.array(out), size=size)
 
     return run
 

@@ -74,6 +74,14 @@ def test_odd_rows_empty_and_untrusted(docs, tables, empty):
     assert len(none) == docs.count() and all(r.kept for r in none if r.size)
 
 
-def test_long_and_surrogate_free_codes():
-    g, own = Q.codes(["", None, "ab\U0001f680", "c"])
-    assert len(g) == 4 and own.tolist() == [2, 2, 2, 3] and (g >= 0).all() and (g < 1 << 60).all()
+def test_pieces_and_codes():
+    import pyarrow as pa
+
+    column = pa.array(["", None, "ab\U0001f680", "c", "x" * 25])
+    whole = [Q.codes(p) for p in Q.pieces(column)]
+    small = [Q.codes(p) for p in Q.pieces(column, 7)]
+    assert len(whole) == 1 and len(small) > 3
+    g, own = whole[0]
+    assert own.tolist() == [2] * 3 + [3] + [4] * 25 and (g >= 0).all() and (g < 1 << 60).all()
+    for i in (0, 1):
+        assert [x for w in small for x in w[i].tolist()] == whole[0][i].tolist()
