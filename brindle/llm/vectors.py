@@ -3,8 +3,10 @@
 Equal vectors become one node with a count. In each pass a vector's key is the concatenation of
 ``BITS`` random hashes (signs of random projections); the nodes are sorted by key across the cluster,
 and each is compared with its next ``WINDOW`` neighbours by cosine in double precision. Near vectors
-share long beginnings of some pass's key, so they stand close to each other there. Each task emits a
-spanning forest of the pairs it has verified; the forests of all passes are united to components.
+share long beginnings of some pass's key, so they stand close to each other there. How many passes that
+takes grows with the number of vectors (``passes_for``). Each task emits a spanning forest of the pairs
+it has verified, and the rows at its two ends, which are compared once more over the tasks' borders; the
+forests of all passes are united to components.
 
 Links are then counted exactly within each component, without emitting pairs. A large component is
 first seen from its centre: members within half the angle of the threshold are all linked with each
@@ -12,7 +14,10 @@ other (angles add up at most), so they are counted, not compared. Only members o
 compared, with all others, in blocks of ``BLOCK``.
 
 No link is missed inside a component; a component could fall apart only if no pass brought two of its
-halves together. Tests measure recall against brute force.
+halves together. For a pair alone at the threshold that happens with a probability of at most about
+1 - ``RECALL``, at any number of vectors, if these spread evenly over the keys; where very many lie
+closer together than others, single pairs among them are lost more often. Tests measure recall against
+brute force.
 
 Vectors that are null, empty, zero, or hold null or non-finite components link with nothing: n_links 0,
 component_id their own vec_id. Vectors of different lengths don't link. A null vec_id is no component's
@@ -30,7 +35,8 @@ from .common import Forest, bounded, keep, runs
 from .components import components
 
 THRESHOLD = 0.9
-PASSES = 16
+PASSES = 16  # at least
+RECALL = 0.95  # chance that a pair at the threshold meets in some pass
 BITS = 48
 WINDOW = 24
 BLOCK = 256
@@ -38,6 +44,16 @@ CENTRES = 50_000  # up to so many centres of large components are broadcast
 SEED = 7
 
 
+def passes_for(n: int) -> int:
+    """Passes after which a pair at the threshold has met with a chance of RECALL, among n vectors.
+
+    About WINDOW of n vectors share log2(n / WINDOW) bits of a key, and two at the threshold share a bit
+    with the chance that a random plane doesn't part them.
+    """
+    together = (1 - np.arccos(THRESHOLD) / np.pi) ** np.log2(max(2, n / WINDOW))
+    return max(PASSES, int(np.ceil(np.log(1 - RECALL) / np.log1p(-together))))
+
+
 def comparable(v: Column) -> Column:
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
     return F.coalesce((F.size(v) > 0) & F.forall(v, finite) & F.exists(v, lambda x: x != 0), F.lit(False))
@@ -84,11 +100,18 @@ def _keys(passes: int):
 
 
 def _windows(batches):
-    """Sorted rows -> a spanning forest of the links between each row and its next WINDOW neighbours."""
+    """Sorted rows -> a spanning forest of the links between each row and its next WINDOW neighbours, and the first and last WINDOW rows."""
     forest, tail = Forest(), None
+    first, last, n_first = [], None, 0
     for b in batches:
         if not b.num_rows:
             continue
+        if n_first < WINDOW:
+            first.append(pa.Table.from_batches([b.slice(0, WINDOW - n_first)]))
+        rest = pa.Table.from_batches([b.slice(max(0, WINDOW - n_first))])
+        n_first = min(WINDOW, n_first + b.num_rows)
+        last = rest if last is None else pa.concat_tables([last, rest])
+        last = last.slice(max(0, len(last) - WINDOW)).combine_chunks()
         group, node = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
         for rows, x in _matrix(b.column(3)):
             g, n = group[rows], node[rows]
@@ -100,7 +123,25 @@ def _windows(batches):
                     forest.join(a, c)
             tail = g[-WINDOW:], n[-WINDOW:], x[-WINDOW:]
     a, c = forest.stars()
-    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], names=["a", "b"])
+    for t in [*first, last] if first else []:
+        for b in t.to_batches():
+            none = pa.nulls(b.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([none, none, *b.columns], names=["a", "b", *b.schema.names])
+            kinds = b.schema.types
+    if a:
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64()), *[pa.nulls(len(a), k) for k in kinds]], names=["a", "b", "pass", "key", "node", "vector"])
+
+
+def _links(keyed: DataFrame) -> DataFrame:
+    """Links of all passes: within the tasks that sort them, then over their borders, a pass in one task."""
+    kind = keyed.schema["vector"].dataType.simpleString()
+    shape = f"a long, b long, pass long, key long, node long, vector {kind}"
+    order = ("pass", "key", "node")
+    got = keep(keyed.repartitionByRange(*map(F.col, order)).sortWithinPartitions(*order).mapInArrow(_windows, shape), "vector_links")
+    # between two rows at most WINDOW apart none is missing here, as only the middles of the tasks are left out
+    edges = got.where("node is not null").select(*order, "vector")
+    over = keep(edges.repartition("pass").sortWithinPartitions(*order).mapInArrow(_windows, shape), "vector_borders")
+    return got.unionAll(over).where("a is not null").select("a", "b")
 
 
 def _sums(batches):
@@ -212,16 +253,16 @@ def _linked(members: DataFrame) -> DataFrame:
     return counted.groupBy("node").agg(F.sum("linked").alias("linked"))
 
 
-def near_vectors(rows: DataFrame, passes: int = PASSES) -> DataFrame:
+def near_vectors(rows: DataFrame, passes: int | None = None) -> DataFrame:
     """rows(vec_id, embedding) -> vec_id, n_links, component_id, kept."""
     keys = (F.xxhash64("embedding").alias("k1"), F.xxhash64(F.lit(11), "embedding").alias("k2"))
     good = comparable(F.col("embedding"))
     nodes = rows.where(good).groupBy(F.col("embedding").alias("vector")).agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"))
     nodes = keep(nodes.withColumn("node", F.monotonically_increasing_id()), "vectors")
     kind = nodes.schema["vector"].dataType.simpleString()
+    passes = passes or passes_for(nodes.count())
     keyed = nodes.select("node", "vector").mapInArrow(_keys(passes), f"pass long, key long, node long, vector {kind}")
-    dealt = keyed.repartitionByRange(F.col("pass"), F.col("key"), F.col("node")).sortWithinPartitions("pass", "key", "node")
-    found = components(keep(dealt.mapInArrow(_windows, "a long, b long"), "vector_links"))
+    found = components(_links(keyed))
     roots = found.select("node", "root")
     members = keep(nodes.join(roots, "node").select("root", "node", "vector", "copies", "id"), "members")
     linked = _linked(members.select("root", "node", "vector", "copies"))

@@ -78,3 +78,21 @@ def test_empty_and_doubles(spark):
     df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 1e-3])], "vec_id long, embedding array<double>")
     assert [tuple(r) for r in V.near_vectors(df).orderBy("vec_id").collect()] == [(1, 1, 1, True), (2, 1, 1, False)]
     assert V.near_vectors(df.select("vec_id", F.lit(None).cast("array<float>").alias("embedding"))).where("n_links = 0 and kept").count() == 2
+
+
+@pytest.mark.parametrize("n", [100, 3_300, 100_000, 1_000_000, 100_000_000, 10**10])
+def test_passes_grow_with_the_vectors(n):
+    bit = 1 - np.arccos(V.THRESHOLD) / np.pi
+    missed = (1 - bit ** max(1.0, np.log2(n / V.WINDOW))) ** V.passes_for(n)
+    assert V.passes_for(n) >= V.PASSES and missed <= 1 - V.RECALL + 1e-9
+
+
+def test_windows_go_over_the_borders_of_tasks(spark):
+    """One group, sorted once, over several tasks."""
+    rows = list(enumerate(_rows(np.random.default_rng(4), [(300, 0.2)], 0)))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = V.near_vectors(spark.createDataFrame(rows, SCHEMA), passes=1).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {r.component_id for r in got} == {0}
