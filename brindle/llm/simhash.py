@@ -58,13 +58,13 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches):
     for b in batches:
         fps = np.fromiter((fingerprint(t) for some in texts(b.column(b.schema.get_field_index("text"))) for t in some), np.uint64, b.num_rows)
-        yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index("doc_id")), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(n)) for n in ("doc_id", "text_hash")] + [pa.array(fps.view(np.int64))], names=["doc_id", "text_hash", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): fp as a signed long."""
+    """(doc_id, text_hash, fp): fp as a signed long."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(_fingerprints, f"doc_id {kind}, fp long")
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(_fingerprints, f"doc_id {kind}, text_hash long, fp long")
 
 
 # --- the plan: parts of correlated bits, thresholds by dynamic programming ---
@@ -317,13 +317,13 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, fp), (fp, component_id)), both written."""
+    """((doc_id, text_hash, fp), (fp, root, component_id)), both written."""
     each = keep(fingerprints(docs), "fingerprints")
     nodes = keep(each.groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
     roots = components(links(nodes)).select(F.col("node").alias("fp"), "root")
     named = keep(nodes.join(roots, "fp", "left").select("fp", "id", F.coalesce("root", "fp").alias("root")), "named")
     ids = keep(named.groupBy("root").agg(F.min("id").alias("component_id")), "ids")
-    return each, keep(named.join(ids, "root").select("fp", "component_id"), "classes")
+    return each, keep(named.join(ids, "root").select("fp", "root", "component_id"), "classes")
 
 
 def op6(docs: DataFrame) -> DataFrame:
@@ -332,20 +332,27 @@ def op6(docs: DataFrame) -> DataFrame:
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """One row of docs for each component, that of the smallest doc_id; rows without a doc_id stay, as nothing names them."""
+    """One row of docs for each component, that of the smallest doc_id and, among its rows, the smallest hash of the text; rows without a doc_id stay, as nothing names them.
+
+    A doc_id with different texts may so stay for several components, once for each.
+    """
     each, classes = _components(docs)
-    first = keep(each.join(classes, "fp").where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    counts = each.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
-    odd = counts.join(first.withColumn("stays", F.lit(True)), "doc_id", "left").where("n > 1 or stays is null")
-    odd = keep(odd.select(F.col("doc_id").alias("odd_id"), F.coalesce("stays", F.lit(False)).alias("stays")), "not_single")
-    inner, back = numbered(docs, "doc_id")
+    row = ["doc_id", "text_hash"]
+    named = each.where("doc_id is not null")
+    first = named.join(classes, "fp").where("doc_id = component_id").groupBy("root").agg(F.min(F.struct(*row)).alias("first"))
+    first = keep(first.select("first.doc_id", "first.text_hash"), "kept")
+    counts = named.groupBy(*row).agg(F.count("*").alias("n"))
+    odd = counts.join(first.withColumn("stays", F.lit(True)), row, "left").where("n > 1 or stays is null")
+    odd = keep(odd.select(F.col("doc_id").alias("odd_id"), F.col("text_hash").alias("odd_hash"), F.coalesce("stays", F.lit(False)).alias("stays")), "not_single")
+    inner, back = numbered(docs, "doc_id", "text")
     near = F.broadcast(odd) if bounded(odd, DROPPED) else odd
-    # rows whose doc_id stands once and stays, or is null, pass by; of a repeated one that stays, one row does
-    single = inner.join(near, inner["doc_id"] == F.col("odd_id"), "left_anti").select(*back)
+    same = (inner["doc_id"] == F.col("odd_id")) & (F.xxhash64(inner["text"]) == F.col("odd_hash"))
+    # rows whose doc_id and text stand once and stay, or whose doc_id is null, pass by; of a repeated one that stays, one row does
+    single = inner.join(near, same, "left_anti").select(*back)
     if odd.where("stays").isEmpty():
         return single
-    one = Window.partitionBy("doc_id").orderBy(F.lit(1))
-    again = inner.join(near.where("stays"), inner["doc_id"] == F.col("odd_id")).withColumn("place_", F.row_number().over(one)).where("place_ = 1")
+    one = Window.partitionBy("doc_id", "odd_hash").orderBy(F.lit(1))
+    again = inner.join(near.where("stays"), same).withColumn("place_", F.row_number().over(one)).where("place_ = 1")
     return single.unionAll(again.select(*back))
 
 

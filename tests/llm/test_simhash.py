@@ -99,3 +99,10 @@ def test_dedup_keeps_one_of_each_group(docs, clashing, empty):
     assert sorted(i for i in ids if i is not None) == sorted({c for c in groups if c is not None})
     assert ids.count(None) == 2  # rows that nothing names stay
     assert S.op6(empty).count() == 0 and S.dedup(empty).count() == 0
+
+
+def test_dedup_keeps_each_component_of_a_repeated_doc_id(spark):
+    one, two, three = (" ".join(f"{w}{i}" for i in range(60)) for w in "abc")
+    rows = [(1, one), (1, two), (1, two), (2, two), (3, three), (None, one)]
+    got = S.dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([(1, one), (1, two), (3, three), (None, one)], key=repr)
