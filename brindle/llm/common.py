@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.paths import scratch_root
@@ -48,6 +48,11 @@ def texts(column: pa.Array, step: int = 256) -> Iterator[list]:
         yield column.slice(at, step).to_pylist()
 
 
+def text_keys(text: Column) -> tuple[Column, Column]:
+    """128 bits that name a text, as two longs k1 and k2; a null text has its own."""
+    return F.xxhash64(F.lit(1), text, text.isNull()).alias("k1"), F.xxhash64(F.lit(2), text, text.isNull()).alias("k2")
+
+
 def bounded(df: DataFrame, limit: int) -> bool:
     """Whether df has at most limit rows. Meant for written tables, whose rows are counted without reading a column."""
     return df.count() <= limit

@@ -15,9 +15,20 @@ A value that more than ``HOT`` stored rows share is not compared pair by pair: t
 another level, where the bits not yet used are cut into four new parts, and so on until few bits are
 left. No pair is lost and no task works on more than ``HOT`` rows of a value at once.
 
-Nulls: a null or blank text has fingerprint 0, linked like any other. Null doc_id: its row gets a
-fingerprint; the component's id is the smallest doc_id that isn't null. Repeated rows are answered
-each. Empty tables give empty tables.
+``op6`` stops there: fingerprints of 3-word shingles, links at 3 bits. ``dedup`` looks for near copies in
+the sense of five-word shingles with a Jaccard similarity of ``SIMILAR`` or more. Its fingerprints are
+made of a text's distinct words, as one changed word turns five shingles but only one word: texts that
+similar then differ in few bits, so ``NEAR`` bits suffice for nearly all (README has the figures). The
+components that the links give are only candidates; inside each, texts are verified by their exact sets
+of shingles. A component of more than ``BLOCK`` texts is first compared with one text, its centre; only
+texts unlike the centre are then compared with all others, in blocks, so none is left out and no task
+holds more than two blocks.
+
+Nulls: a null or blank text has fingerprint 0, linked like any other; texts without words are all alike.
+Null doc_id: its row gets a fingerprint; the component's id is the smallest doc_id that isn't null, and
+in ``dedup`` such a row comes after all that have one. Repeated rows are answered each by ``op6``; of rows
+alike in doc_id and text ``dedup`` keeps one. Texts are told apart by 128 bits. Empty tables give empty
+tables.
 """
 
 from __future__ import annotations
@@ -30,41 +41,73 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Forest, bounded, keep, numbered, runs, texts
+from .common import Forest, bounded, keep, numbered, runs, text_keys, texts
 from .components import components
 
 K = 3
 SHINGLE = 3
 SEED = 42
 HOT = 4096
-DROPPED = 1_000_000  # up to so many doc_ids that go are broadcast; beyond, rows are joined by doc_id
+NEAR = 7  # bits that near copies may differ in, for dedup
+WORDS = 5  # of the shingles that dedup verifies by
+SIMILAR = 0.8
+BLOCK = 2048  # texts of a component that are verified at once
+SMALL = 1_000_000  # up to so many rows of keys are broadcast
+CENTRES = 2_000  # up to so many centres are broadcast, if their shingles are at most
+CENTRE_WORDS = 4_000_000
 SAMPLE = 20_000  # fingerprints from which candidate counts are estimated
 ROW_COST, PAIR_COST = 2e-6, 2e-8  # seconds for a row that is dealt out, for a pair that is compared
 
 
-def fingerprint(text: str | None) -> int:
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return 0
-    size = min(SHINGLE, len(words))
-    votes, n = np.zeros(64, np.int64), len(words) - size + 1
-    for lo in range(0, n, 65_536):  # a long text's shingles aren't all held at once
-        part = words[lo : lo + 65_536 + size - 1]
-        h = np.fromiter((xxhash.xxh64_intdigest(b" ".join(s), SEED) for s in zip(*(part[i:] for i in range(size)), strict=False)), np.uint64)
+def split(text: str | None) -> list[bytes]:
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
+def _shingles(words: list[bytes], size: int, step: int = 65_536):
+    """Hashes of all shingles, some at a time, so that those of a long text aren't all held at once."""
+    size = min(size, len(words))
+    for lo in range(0, len(words) - size + 1 if words else 0, step):
+        part = words[lo : lo + step + size - 1]
+        yield np.fromiter((xxhash.xxh64_intdigest(b" ".join(s), SEED) for s in zip(*(part[i:] for i in range(size)), strict=False)), np.uint64)
+
+
+def _vote(hashes) -> int:
+    votes, n = np.zeros(64, np.int64), 0
+    for h in hashes:
         votes += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        n += len(h)
     return int(np.packbits(2 * votes > n, bitorder="little").view(np.uint64)[0])
 
 
-def _fingerprints(batches):
-    for b in batches:
-        fps = np.fromiter((fingerprint(t) for some in texts(b.column(b.schema.get_field_index("text"))) for t in some), np.uint64, b.num_rows)
-        yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(n)) for n in ("doc_id", "text_hash")] + [pa.array(fps.view(np.int64))], names=["doc_id", "text_hash", "fp"])
+def fingerprint(text: str | None) -> int:
+    return _vote(_shingles(split(text), SHINGLE))
+
+
+def word_fingerprint(text: str | None) -> int:
+    """Of the distinct words, each with one vote."""
+    return _vote(_shingles(list(dict.fromkeys(split(text))), 1))
+
+
+def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
+    """Sorted hashes of the distinct shingles; texts without words have one that they share."""
+    parts = list(_shingles(split(text), size))
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(1, np.uint64)
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, fp): fp as a signed long."""
+def _fingerprints(of):
+    def run(batches):
+        for b in batches:
+            fps = np.fromiter((of(t) for some in texts(b.column(b.schema.get_field_index("text"))) for t in some), np.uint64, b.num_rows)
+            names = [n for n in b.schema.names if n != "text"]
+            yield pa.RecordBatch.from_arrays([b.column(b.schema.get_field_index(n)) for n in names] + [pa.array(fps.view(np.int64))], names=[*names, "fp"])
+
+    return run
+
+
+def fingerprints(docs: DataFrame, of=fingerprint) -> DataFrame:
+    """(doc_id, k1, k2, fp): the text's keys, and fp as a signed long."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).mapInArrow(_fingerprints, f"doc_id {kind}, text_hash long, fp long")
+    return docs.select("doc_id", *text_keys(F.col("text")), "text").mapInArrow(_fingerprints(of), f"doc_id {kind}, k1 long, k2 long, fp long")
 
 
 # --- the plan: parts of correlated bits, thresholds by dynamic programming ---
@@ -149,16 +192,16 @@ def allocate(by_part: list[dict[int, float]], total: int) -> tuple[float, list[i
     return best.get(total, (float("inf"), []))
 
 
-def plan(fps: DataFrame) -> list[tuple[int, int]]:
+def plan(fps: DataFrame, k: int = K) -> list[tuple[int, int]]:
     """(mask of the part, its threshold) for every part that is used."""
     corr, n = correlations(fps)
     share = min(1.0, SAMPLE / max(1, n))
     picked = fps.where(F.pmod(F.xxhash64("fp"), F.lit(1_000_000)) < F.lit(int(share * 1_000_000) + 1)).select("fp").limit(2 * SAMPLE)
     sample = np.array([r["fp"] for r in picked.collect()], np.int64).view(np.uint64)
     tried = []
-    for m in range(2, 7):
+    for m in range(2, k + 4):
         parts = parts_of(corr, m)
-        cost, ts = allocate([costs(sample, n, p) for p in parts], K - m + 1)
+        cost, ts = allocate([costs(sample, n, p) for p in parts], k - m + 1)
         if ts:
             tried.append((cost, m, [(_mask(p), t) for p, t in zip(parts, ts, strict=True) if t >= 0]))
     return min(tried)[2]
@@ -194,19 +237,23 @@ def _first_keys(used: list[tuple[int, int]]):
     return run
 
 
-def _next_keys(batches):
-    """The bits not used so far, in K + 1 parts of threshold 0, under the hot key they were found in."""
-    for b in batches:
-        key, fps, left = (b.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(3))
-        for mask in np.unique(left):
-            own = left == mask
-            bits = [k for k in range(64) if int(mask) >> k & 1]
-            for j in range(K + 1):
-                sub = np.uint64(_mask(bits[j :: K + 1]))
-                yield _rows(_key((fps[own] & sub) ^ _key(key[own], 77), j + 1), fps[own], np.zeros(own.sum(), bool), np.full(own.sum(), mask & ~sub))
+def _next_keys(k: int):
+    """The bits not used so far, in k + 1 parts of threshold 0, under the hot key they were found in."""
+
+    def run(batches):
+        for b in batches:
+            key, fps, left = (b.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in range(3))
+            for mask in np.unique(left):
+                own = left == mask
+                bits = [i for i in range(64) if int(mask) >> i & 1]
+                for j in range(k + 1):
+                    sub = np.uint64(_mask(bits[j :: k + 1]))
+                    yield _rows(_key((fps[own] & sub) ^ _key(key[own], 77), j + 1), fps[own], np.zeros(own.sum(), bool), np.full(own.sum(), mask & ~sub))
+
+    return run
 
 
-def _compare(fps: np.ndarray, probe: np.ndarray, starts: np.ndarray, lengths: np.ndarray, forest: Forest) -> None:
+def _compare(fps: np.ndarray, probe: np.ndarray, starts: np.ndarray, lengths: np.ndarray, forest: Forest, k: int) -> None:
     """Joins all links within each run. Short runs together, by distance; long ones in blocks."""
     short = lengths <= 48
     at, room = starts[short], lengths[short]
@@ -219,7 +266,7 @@ def _compare(fps: np.ndarray, probe: np.ndarray, starts: np.ndarray, lengths: np
         if not len(pos):
             break
         a, c = fps[pos], fps[pos + d]
-        good = (np.bitwise_count(a ^ c) <= K) & ~(probe[pos] & probe[pos + d])
+        good = (np.bitwise_count(a ^ c) <= k) & ~(probe[pos] & probe[pos + d])
         for x, y in zip(a[good].view(np.int64).tolist(), c[good].view(np.int64).tolist(), strict=True):
             forest.join(x, y)
         d += 1
@@ -227,7 +274,7 @@ def _compare(fps: np.ndarray, probe: np.ndarray, starts: np.ndarray, lengths: np
         own, asks = fps[s : s + n], probe[s : s + n]
         kept, keeps = own, asks
         for lo in range(0, n, 256):
-            hit = np.bitwise_count(own[lo : lo + 256, None] ^ kept[None, lo:]) <= K
+            hit = np.bitwise_count(own[lo : lo + 256, None] ^ kept[None, lo:]) <= k
             hit &= ~(asks[lo : lo + 256, None] & keeps[None, lo:])
             x, y = np.nonzero(hit)
             good = y > x
@@ -235,7 +282,7 @@ def _compare(fps: np.ndarray, probe: np.ndarray, starts: np.ndarray, lengths: np
                 forest.join(p, q)
 
 
-def _meet(last: bool):
+def _meet(last: bool, k: int):
     """Rows sorted by key -> links (a, b), or rows of hot keys (a: fp, b: key, left_bits: bits for the next level)."""
 
     def flush(parts, forest, whole):
@@ -249,7 +296,7 @@ def _meet(last: bool):
         more = lengths > 1
         starts, lengths = starts[more], lengths[more]
         hot = (lengths > HOT) & ~np.full(len(lengths), last)
-        _compare(fp, probe, starts[~hot], lengths[~hot], forest)
+        _compare(fp, probe, starts[~hot], lengths[~hot], forest, k)
         out = [_hot(fp[s : s + n], key[s : s + n], left[s : s + n]) for s, n in zip(starts[hot], lengths[hot], strict=True)]
         return rest, out
 
@@ -295,21 +342,21 @@ def _meet(last: bool):
     return run
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """fps(fp), distinct -> (a, b): links whose components are those of all pairs that differ in at most K bits."""
-    used = plan(fps)
+def links(fps: DataFrame, k: int = K) -> DataFrame:
+    """fps(fp), distinct -> (a, b): links whose components are those of all pairs that differ in at most k bits."""
+    used = plan(fps, k)
     rows = fps.select("fp").mapInArrow(_first_keys(used), "key long, fp long, probe boolean, left_bits long")
     found, bits = [], 64 - min(bin(m).count("1") for m, _ in used)
     while True:
-        last = bits <= 12  # at most 4,096 different values are left
-        dealt = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(last), "a long, b long, left_bits long")
+        last = bits <= max(12, k)  # few different values are left
+        dealt = rows.repartition("key").sortWithinPartitions("key").mapInArrow(_meet(last, k), "a long, b long, left_bits long")
         got = keep(dealt, "simhash")
         found.append(got.where("left_bits is null").select("a", "b"))
         hot = got.where("left_bits is not null")
         if last or hot.isEmpty():
             break
-        rows = hot.select(F.col("b").alias("key"), F.col("a").alias("fp"), "left_bits").distinct().mapInArrow(_next_keys, "key long, fp long, probe boolean, left_bits long")
-        bits -= bits // (K + 1)
+        rows = hot.select(F.col("b").alias("key"), F.col("a").alias("fp"), "left_bits").distinct().mapInArrow(_next_keys(k), "key long, fp long, probe boolean, left_bits long")
+        bits -= max(1, bits // (k + 1))
     out = found[0]
     for f in found[1:]:
         out = out.unionAll(f)
@@ -317,13 +364,13 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, text_hash, fp), (fp, root, component_id)), both written."""
+    """((doc_id, k1, k2, fp), (fp, component_id)), both written."""
     each = keep(fingerprints(docs), "fingerprints")
     nodes = keep(each.groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
     roots = components(links(nodes)).select(F.col("node").alias("fp"), "root")
     named = keep(nodes.join(roots, "fp", "left").select("fp", "id", F.coalesce("root", "fp").alias("root")), "named")
     ids = keep(named.groupBy("root").agg(F.min("id").alias("component_id")), "ids")
-    return each, keep(named.join(ids, "root").select("fp", "root", "component_id"), "classes")
+    return each, keep(named.join(ids, "root").select("fp", "component_id"), "classes")
 
 
 def op6(docs: DataFrame) -> DataFrame:
@@ -331,29 +378,142 @@ def op6(docs: DataFrame) -> DataFrame:
     return each.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+# --- near copies by exact sets of shingles, for dedup ---
+
+
+def alike(a: np.ndarray, b: np.ndarray, similar: float = SIMILAR) -> bool:
+    """Whether two sets, as sorted arrays, have a Jaccard similarity of at least `similar`."""
+    if min(len(a), len(b)) < similar * max(len(a), len(b)):
+        return False
+    both = len(a) + len(b) - len(np.union1d(a, b))
+    return both >= similar * (len(a) + len(b) - both) - 1e-9
+
+
+def _sets(similar_of: str):
+    def run(batches):
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                sets = [shingle_set(t).view(np.int64) for some in texts(part.column(part.schema.get_field_index(similar_of))) for t in some]
+                names = [n for n in part.schema.names if n != similar_of]
+                yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index(n)) for n in names] + [pa.array(sets, pa.list_(pa.int64()))], names=[*names, "words"])
+
+    return run
+
+
+def _set_of(column: pa.Array, i: int) -> np.ndarray:
+    return column[i].values.to_numpy(zero_copy_only=False)
+
+
+def _to_centre(batches):
+    """root, node, words, centre, centre_words -> root, node, words, and whether the text is unlike the centre."""
+    for b in batches:
+        own, centre = b.column(2), b.column(4)
+        unlike = [not alike(_set_of(own, i), _set_of(centre, i)) for i in range(b.num_rows)]
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), own, b.column(3), pa.array(unlike, pa.bool_())], names=["root", "node", "words", "centre", "fringe"])
+
+
+def _verify(batches):
+    """Rows of a key stand together -> links (a, b). A text is compared with a cluster until one member is near; two of side 1 never are."""
+    at, clusters = None, []
+    for b in batches:
+        left, right = [], []
+        key, node, side = b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()
+        for r, (k, n, s) in enumerate(zip(key, node, side, strict=True)):
+            if k != at:
+                at, clusters = k, []
+            own, near = _set_of(b.column(3), r), []
+            for c in clusters:
+                for i, (other, words, t) in enumerate(c):
+                    if not (s and t) and alike(words, own):
+                        if i:  # a member that matches is likely to match again
+                            c.insert(0, c.pop(i))
+                        left.append(other)
+                        right.append(n)
+                        near.append(c)
+                        break
+            home = near[0] if near else []
+            for c in near[1:]:
+                home.extend(c)
+                clusters.remove(c)
+            home.append((n, own.copy(), s))
+            if not near:
+                clusters.append(home)
+        yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
+
+
+def verified(members: DataFrame) -> DataFrame:
+    """members(root, node, words) -> (a, b): links whose components are those of all pairs of a root's texts that are alike."""
+    sizes = members.groupBy("root").agg(F.count("*").alias("n"), F.min("node").alias("centre"))
+    large = keep(sizes.where(F.col("n") > BLOCK), "large_groups")
+    found = None
+    if large.isEmpty():
+        dealt = members.select(F.col("root").alias("key"), "node", F.lit(0).alias("side"), "words")
+    else:
+        mine = F.broadcast(large) if bounded(large, SMALL) else large
+        centres = keep(members.join(mine, "root").where("node = centre").select("root", "centre", F.col("words").alias("centre_words")), "centres")
+        held = centres.agg(F.coalesce(F.sum(F.size("centre_words")), F.lit(0)).alias("n")).first()["n"]
+        near = F.broadcast(centres) if held <= CENTRE_WORDS and bounded(centres, CENTRES) else centres
+        told = members.join(near, "root").select("root", "node", "words", "centre", "centre_words")
+        told = keep(told.mapInArrow(_to_centre, "root long, node long, words array<long>, centre long, fringe boolean"), "to_centre")
+        found = told.where("not fringe and node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b"))
+        shape = told.groupBy("root").agg(F.sum(F.col("fringe").cast("long")).alias("f"), F.count("*").alias("n"))
+        blocks = lambda n: F.ceil(n * 2 / BLOCK).cast("int")
+        shape = keep(shape.where("f > 0").select("root", blocks(F.col("f")).alias("fb"), blocks(F.col("n") - F.col("f")).alias("cb")), "shape")
+        rows = told.join(F.broadcast(shape) if bounded(shape, SMALL) else shape, "root")
+        of = lambda n: F.pmod(F.xxhash64("node"), F.greatest(F.col(n), F.lit(1))).cast("int")
+        own, other = of("fb"), of("cb")
+        upto = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
+        with_fringe = F.transform(upto("fb"), lambda j: F.xxhash64("root", F.lit(0), F.least(own, j), F.greatest(own, j)))
+        with_core = F.transform(upto("cb"), lambda j: F.xxhash64("root", F.lit(1), own, j))
+        from_core = F.transform(upto("fb"), lambda j: F.xxhash64("root", F.lit(1), j, other))
+        key = F.explode(F.when(F.col("fringe"), F.concat(with_fringe, with_core)).otherwise(from_core)).alias("key")
+        dealt = members.join(mine, "root", "left_anti").select(F.xxhash64("root", F.lit(2)).alias("key"), "node", F.lit(0).alias("side"), "words")
+        dealt = dealt.unionAll(rows.select(key, "node", F.when(F.col("fringe"), 0).otherwise(1).alias("side"), "words"))
+    links_ = dealt.repartition("key").sortWithinPartitions("key", "side", "node").mapInArrow(_verify, "a long, b long")
+    return links_ if found is None else links_.unionAll(found)
+
+
+def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """docs(doc_id, text) -> ((doc_id, k1, k2, n): rows alike, (k1, k2, doc_id, class): texts with their smallest doc_id and the node that names their class), both written."""
+    entries = fingerprints(docs, word_fingerprint).groupBy("doc_id", "k1", "k2").agg(F.min("fp").alias("fp"), F.count("*").alias("n"))
+    entries = keep(entries, "entries")
+    each = entries.groupBy("k1", "k2").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("doc_id"))
+    each = keep(each.withColumn("node", F.monotonically_increasing_id()), "texts")
+    roots = components(links(keep(each.select("fp").distinct(), "fps"), NEAR)).select(F.col("node").alias("fp"), "root")
+    rooted = keep(each.join(roots, "fp", "left").select("node", "k1", "k2", F.coalesce("root", "fp").alias("root")), "rooted")
+    shared = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
+    wanted = keep(rooted.join(shared, "root"), "candidates")
+    near = F.broadcast(wanted) if bounded(wanted, SMALL) else wanted
+    some = docs.select("text", *text_keys(F.col("text"))).join(near, ["k1", "k2"]).select("root", "node", "text")
+    sets = some.mapInArrow(_sets("text"), "root long, node long, words array<long>").groupBy("root", "node").agg(F.first("words").alias("words"))
+    classes = components(verified(keep(sets, "shingles"))).select("node", F.col("root").alias("class"))
+    return entries, keep(each.join(classes, "node", "left").select("k1", "k2", "doc_id", F.coalesce("class", "node").alias("class")), "near_classes")
+
+
 def dedup(docs: DataFrame) -> DataFrame:
-    """One row of docs for each component, that of the smallest doc_id and, among its rows, the smallest hash of the text; rows without a doc_id stay, as nothing names them.
+    """One row of docs for each class of near copies, with docs' columns: that of the smallest doc_id (null last), and of its texts the one with the smallest key.
 
-    A doc_id with different texts may so stay for several components, once for each.
+    A doc_id with different texts may so stay for several classes, once for each. Rows alike in doc_id and
+    text are one; if their other columns differ, a hash of the row decides which stays.
     """
-    each, classes = _components(docs)
-    row = ["doc_id", "text_hash"]
-    named = each.where("doc_id is not null")
-    first = named.join(classes, "fp").where("doc_id = component_id").groupBy("root").agg(F.min(F.struct(*row)).alias("first"))
-    first = keep(first.select("first.doc_id", "first.text_hash"), "kept")
-    counts = named.groupBy(*row).agg(F.count("*").alias("n"))
-    odd = counts.join(first.withColumn("stays", F.lit(True)), row, "left").where("n > 1 or stays is null")
-    odd = keep(odd.select(F.col("doc_id").alias("odd_id"), F.col("text_hash").alias("odd_hash"), F.coalesce("stays", F.lit(False)).alias("stays")), "not_single")
+    entries, classes = near_classes(docs.select("doc_id", "text"))
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("best")
+    first = classes.groupBy("class").agg(best).select("best.doc_id", "best.k1", "best.k2", F.lit(True).alias("stays"))
+    row = [entries[n].eqNullSafe(first[n]) for n in ("doc_id", "k1", "k2")]
+    odd = entries.join(first, row[0] & row[1] & row[2], "left").where("n > 1 or stays is null")
+    odd = keep(odd.select(entries["doc_id"].alias("odd_id"), entries["k1"].alias("odd_1"), entries["k2"].alias("odd_2"), F.coalesce("stays", F.lit(False)).alias("stays")), "not_single")
     inner, back = numbered(docs, "doc_id", "text")
-    near = F.broadcast(odd) if bounded(odd, DROPPED) else odd
-    same = (inner["doc_id"] == F.col("odd_id")) & (F.xxhash64(inner["text"]) == F.col("odd_hash"))
-    # rows whose doc_id and text stand once and stay, or whose doc_id is null, pass by; of a repeated one that stays, one row does
-    single = inner.join(near, same, "left_anti").select(*back)
+    few = F.broadcast(odd) if bounded(odd, SMALL) else odd
+    k1, k2 = text_keys(inner["text"])
+    same = inner["doc_id"].eqNullSafe(F.col("odd_id")) & (k1 == F.col("odd_1")) & (k2 == F.col("odd_2"))
+    # rows that stand once and stay pass by; of repeated ones that stay, one does
+    single = inner.join(few, same, "left_anti").select(*back)
     if odd.where("stays").isEmpty():
         return single
-    one = Window.partitionBy("doc_id", "odd_hash").orderBy(F.lit(1))
-    again = inner.join(near.where("stays"), same).withColumn("place_", F.row_number().over(one)).where("place_ = 1")
-    return single.unionAll(again.select(*back))
+    names = inner.columns
+    again = inner.join(few.where("stays"), same, "left_semi").groupBy("doc_id", *text_keys(F.col("text"))).agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("row"))
+    return single.unionAll(again.select("row.*").select(*back))
 
 
 def signed(spark: SparkSession, values: list[int]) -> DataFrame:
