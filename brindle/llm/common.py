@@ -58,6 +58,25 @@ def bounded(df: DataFrame, limit: int) -> bool:
     return df.count() <= limit
 
 
+SMALL = 1_000_000  # up to so many rows of keys and small values are broadcast
+HOT_KEYS = 10_000  # keys that may be hot, at most
+
+
+def join_unique(left: DataFrame, right: DataFrame, on: list[str], total: int) -> DataFrame:
+    """left with right's columns (left join). right, a written table, has one row for each key, and in n the number of left's rows that have it.
+
+    A right of up to SMALL rows is broadcast. Otherwise keys with more than 1 / HOT_KEYS of left's rows
+    (total), of which there can't be more than HOT_KEYS, are broadcast, and only the others are shuffled.
+    """
+    if bounded(right, SMALL):
+        return left.join(F.broadcast(right.drop("n")), on, "left")
+    limit = total // HOT_KEYS
+    hot, rest = right.where(F.col("n") > limit).drop("n"), right.where(F.col("n") <= limit).drop("n")
+    hot = F.broadcast(keep(hot, "hot_keys"))
+    cold = left.join(hot.select(*on), on, "left_anti")
+    return left.join(hot, on).unionByName(cold.join(rest, on, "left"))
+
+
 class Forest:
     """Union-find over integers, smallest member as root."""
 

@@ -14,34 +14,39 @@ reach of each number of edits is extended along them. A task emits one link for
 cluster, never all pairs. A key with more than ``HOT`` lines is cut into blocks, each two of which are one
 task's work, so none is lost and no task holds more.
 
-Links and equal lines form classes (connected components). Of a class the first line, by doc_id and
+Links and equal lines form classes (connected components). Of a class the first line, by doc_id, text and
 place, stays; shorter lines are only compared for equality, blank lines stay.
 
-Nulls: a null or empty text has no lines. A null doc_id sorts first. Rows of the same doc_id are told
-apart by the line's place alone. Empty tables give empty tables. Lines are named by 64-bit hashes.
+Every row of the table is a document of its own, numbered as it is read, also where doc_ids are null or
+repeated; of equal rows one comes first. Nulls: a null or empty text has no lines. A null doc_id sorts
+first. Empty tables give empty tables. Lines are named by 128 bits; only the search for keys that two
+lines share makes do with half of them, and there a collision loses nothing but the two lines' own link.
 """
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, keep, numbered, runs, texts
+from .common import bounded, join_unique, keep, numbered, runs, texts
 from .components import components
 
 EDITS = 2
 MIN_CHARS = 20
 LIVE = 1_000_000  # up to so many line ids are broadcast
 HOT = 8_192  # lines of a key that are verified in one task; more are cut into blocks
+HOT_CHARS = 32_000_000  # characters of a key's lines, likewise
 HELD = 400_000  # line ids that a task remembers, to send a line's keys once
 
 
-def line_id(line: str) -> int:
-    h = xxhash.xxh64_intdigest(line.encode("utf-8", "surrogatepass"))
-    return h - (1 << 64) if h >> 63 else h
+def line_id(line: str) -> tuple[int, int]:
+    """A line's name: two signed longs."""
+    return struct.unpack("<qq", xxhash.xxh3_128_digest(line.encode("utf-8", "surrogatepass")))
 
 
 def segments(length: int, edits: int = EDITS) -> list[tuple[int, int]]:
@@ -136,7 +141,7 @@ def _keys(batches):
                 for line in split_lines(t):
                     if len(line) < MIN_CHARS:
                         continue
-                    h = line_id(line)
+                    h = line_id(line)[0]
                     if h in seen:
                         continue
                     if len(seen) >= HELD:
@@ -200,10 +205,14 @@ def _shared_keys(batches):
 
 
 def _texts_of(batches):
-    """(line, text) of lines long enough, once for each task as far as it remembers."""
-    seen: set[int] = set()
+    """(line, check, text) of lines long enough, once for each task as far as it remembers."""
+    seen: set[tuple[int, int]] = set()
+
+    def batch(ids, out):
+        return pa.RecordBatch.from_arrays([pa.array([h for h, _ in ids], pa.int64()), pa.array([c for _, c in ids], pa.int64()), pa.array(out, pa.string())], names=["line", "check", "text"])
+
     for b in batches:
-        ids, out = [], []
+        ids, out, size = [], [], 0
         for some in texts(b.column(0)):
             for t in some:
                 for line in split_lines(t):
@@ -213,10 +222,11 @@ def _texts_of(batches):
                         seen.add(h)
                         ids.append(h)
                         out.append(line)
-                if len(ids) > 5_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.string())], names=["line", "text"])
-                    ids, out = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.string())], names=["line", "text"])
+                        size += len(line)
+                if len(ids) > 5_000 or size > 4_000_000:
+                    yield batch(ids, out)
+                    ids, out, size = [], [], 0
+        yield batch(ids, out)
 
 
 def _verify(batches):
@@ -256,72 +266,87 @@ def _verify(batches):
 
 
 def _in_blocks(shared: DataFrame) -> DataFrame:
-    """The lines of a key with more than HOT of them, in blocks: a key for each two blocks, so every two lines still meet."""
-    hot = keep(shared.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select(F.col("key").alias("hot"), F.ceil(F.col("n") * 2 / HOT).cast("int").alias("blocks")), "hot_line_keys")
+    """shared(key, node, size) -> (key, node): lines of a key with more than HOT of them, or HOT_CHARS characters, in blocks. A key for each two blocks, so every two lines still meet."""
+    blocks = F.ceil(F.greatest(F.col("n") * 2 / HOT, F.col("chars") * 2 / HOT_CHARS)).cast("int")
+    hot = shared.groupBy("key").agg(F.count("*").alias("n"), F.sum("size").alias("chars")).where((F.col("n") > HOT) | (F.col("chars") > HOT_CHARS) & (F.col("n") > 2))
+    hot = keep(hot.select(F.col("key").alias("hot"), F.least(blocks, F.col("n").cast("int")).alias("blocks")), "hot_line_keys")
     if hot.isEmpty():
-        return shared
+        return shared.select("key", "node")
     rows = shared.join(F.broadcast(hot) if bounded(hot, LIVE) else hot, F.col("key") == F.col("hot"), "left")
-    own = F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     pair = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.xxhash64("key", F.least(own, j), F.greatest(own, j)))
-    return rows.select(F.explode(F.when(F.col("hot").isNull(), F.array("key")).otherwise(pair)).alias("key"), "line")
+    return rows.select(F.explode(F.when(F.col("hot").isNull(), F.array("key")).otherwise(pair)).alias("key"), "node")
 
 
 def near_lines(docs: DataFrame) -> DataFrame:
-    """docs(text) -> (a, b): links between ids of different lines; their components are those of all near pairs."""
+    """docs(text) -> (line, check, root), written: lines near another one, and the number of their class."""
     keyed = docs.select("text").mapInArrow(_keys, "key long, line long, stored boolean")
     shared = keyed.repartition("key").sortWithinPartitions("key", "line").mapInArrow(_shared_keys, "key long, line long")
     shared = keep(shared, "line_keys")
     live = keep(shared.select("line").distinct(), "live_lines")
     near = F.broadcast(live) if bounded(live, LIVE) else live
-    found = docs.select("text").mapInArrow(_texts_of, "line long, text string").join(near, "line", "left_semi")
-    found = keep(found.groupBy("line").agg(F.first("text").alias("text")), "line_texts")
-    dealt = _in_blocks(shared).join(found, "line").select("key", "line", "text")
-    return dealt.repartition("key").sortWithinPartitions("key", "line").mapInArrow(_verify, "a long, b long")
+    found = docs.select("text").mapInArrow(_texts_of, "line long, check long, text string").join(near, "line", "left_semi")
+    found = found.groupBy("line", "check").agg(F.first("text").alias("text"))
+    found = keep(found.select(F.monotonically_increasing_id().alias("node"), "line", "check", "text", F.length("text").alias("size")), "line_texts")
+    spots = shared.join(found.select("node", "line", "size"), "line")
+    dealt = _in_blocks(spots.select("key", "node", "size")).join(found.select("node", "text"), "node").select("key", "node", "text")
+    links = dealt.repartition("key").sortWithinPartitions("key", "node").mapInArrow(_verify, "a long, b long")
+    return keep(components(links).join(found, "node").select("line", "check", "root"), "line_classes")
 
 
 def _occurrences(batches):
+    """All lines of each row, or where it has none a row without a place."""
     for b in batches:
-        ids = b.column(0)
+        keys = [b.column(b.schema.get_field_index(n)) for n in ("row", "doc_id", "k1")]
         at = 0
-        for some in texts(b.column(1), 32):
-            own, place, line, size = [], [], [], []
+        for some in texts(b.column(b.schema.get_field_index("text")), 32):
+            own, place, line, check, size = [], [], [], [], []
             for j, t in enumerate(some):
-                for i, x in enumerate(split_lines(t)):
+                for i, x in enumerate(split_lines(t) or [None]):
+                    h, c = line_id(x) if x and x.strip() else (None, None)
                     own.append(at + j)
-                    place.append(i)
-                    line.append(line_id(x) if x.strip() else None)
-                    size.append(len(x))
+                    place.append(None if x is None else i)
+                    line.append(h)
+                    check.append(c)
+                    size.append(len(x or ""))
             at += len(some)
-            yield pa.RecordBatch.from_arrays([ids.take(pa.array(own, pa.int64())), pa.array(place, pa.int64()), pa.array(line, pa.int64()), pa.array(size, pa.int64())], names=["doc_id", "place", "line", "size"])
-
-
-def marked_lines(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text) -> doc_id, place, line (null if blank), size, class, repeated: all lines, and whether an earlier one of their class stays."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    each = keep(docs.select("doc_id", "text").mapInArrow(_occurrences, f"doc_id {kind}, place long, line long, size long"), "lines")
-    classes = keep(components(near_lines(docs)), "line_classes").select(F.col("node").alias("line"), "root")
-    near = F.broadcast(classes) if bounded(classes, LIVE) else classes
-    each = keep(each.join(near, "line", "left").select("doc_id", "place", "line", "size", F.coalesce("root", "line").alias("class")), "classed")
-    first = each.where("class is not null").groupBy("class").agg(F.min(F.struct("doc_id", "place")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    first = keep(first.select("class", "first"), "firsts")
-    out = each.join(F.broadcast(first) if bounded(first, LIVE // 4) else first, "class", "left")
-    later = F.col("first").isNotNull() & ~F.struct("doc_id", "place").eqNullSafe(F.col("first"))
-    return out.select("doc_id", "place", "line", "size", "class", later.alias("repeated"))
+            where = pa.array(own, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(k.take(where) for k in keys), *(pa.array(x, pa.int64()) for x in (place, line, check, size))], names=["row", "doc_id", "k1", "place", "line", "check", "size"])
+
+
+def marked_lines(rows: DataFrame) -> DataFrame:
+    """rows(row, doc_id, text), row being unique where it is read once -> row, doc_id, place, size, repeated: all lines, and whether an earlier one of their class stays; a row without lines has one with a null place."""
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    each = rows.select("row", "doc_id", F.xxhash64("text").alias("k1"), "text").mapInArrow(_occurrences, f"row long, doc_id {kind}, k1 long, place long, line long, check long, size long")
+    each = keep(each, "lines")
+    full, blank = each.where("line is not null"), each.where("line is null")
+    names = ["line", "check"]
+    kinds = keep(full.groupBy(*names).agg(F.min(F.struct("doc_id", "k1", "row", "place")).alias("first"), F.count("*").alias("n")), "kinds")
+    classes = near_lines(rows)
+    classes = F.broadcast(classes) if bounded(classes, LIVE) else classes
+    # lines that stand once and are near no other are never repeats
+    kinds = keep(kinds.join(classes, names, "left").where("n > 1 or root is not null"), "shared_lines")
+    alone = kinds.where("root is null").select(*names, "first", "n")
+    first = kinds.where("root is not null").groupBy("root").agg(F.min("first").alias("first"))
+    linked = kinds.where("root is not null").drop("first").join(first, "root").select(*names, "first", "n")
+    firsts = keep(alone.unionAll(linked), "firsts")
+    out = join_unique(full, firsts, names, full.count())
+    later = F.col("first").isNotNull() & ~((F.col("first.row") == F.col("row")) & (F.col("first.place") == F.col("place")))
+    return out.select("row", "doc_id", "place", "size", later.alias("repeated")).unionAll(blank.select("row", "doc_id", "place", "size", F.lit(False)))
 
 
 def op10(docs: DataFrame) -> DataFrame:
-    """One row for each doc_id: n_lines, n_repeated, kept_chars."""
-    lines = marked_lines(docs)
-    got = lines.groupBy("doc_id").agg(F.count("*").alias("n_lines"), F.sum(F.col("repeated").cast("long")).alias("n_repeated"), F.sum(F.when(F.col("repeated"), 0).otherwise(F.col("size"))).alias("kept_chars"))
-    all_ids = docs.select("doc_id").distinct().withColumnRenamed("doc_id", "id")
-    out = all_ids.join(got, F.col("id").eqNullSafe(F.col("doc_id")), "left")
-    return out.select(F.col("id").alias("doc_id"), *[F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("n_lines", "n_repeated", "kept_chars")])
+    """One row for each row of docs: doc_id, n_lines, n_repeated, kept_chars."""
+    lines = marked_lines(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"))
+    sums = (F.count("place").alias("n_lines"), F.sum(F.col("repeated").cast("long")).alias("n_repeated"), F.sum(F.when(F.col("repeated"), 0).otherwise(F.col("size"))).cast("long").alias("kept_chars"))
+    return lines.groupBy("row").agg(F.first("doc_id").alias("doc_id"), *sums).drop("row")
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """docs with repeated lines taken out of their texts."""
-    gone = marked_lines(docs.select("doc_id", "text")).where("repeated").groupBy("doc_id").agg(F.collect_set("place").alias("gone_")).withColumnRenamed("doc_id", "gone_id")
     inner, back = numbered(docs, "doc_id", "text")
-    inner = inner.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left")
+    inner = keep(inner.withColumn("row", F.monotonically_increasing_id()), "line_rows")
+    gone = marked_lines(inner.select("row", "doc_id", "text")).where("repeated").groupBy("row").agg(F.collect_set("place").alias("gone_"))
     rest = F.filter(F.split("text", "\n"), lambda _, i: ~F.array_contains("gone_", i.cast("long")))
-    return inner.withColumn("text", F.when(F.col("gone_").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))).select(*back)
+    out = inner.join(gone, "row", "left")
+    return out.withColumn("text", F.when(F.col("gone_").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))).select(*back)

@@ -8,8 +8,12 @@ only the bucket on the boundary is looked at again, at a finer grain. Documents
 are in; nothing is sorted.
 
 Nulls: a null text has no words; null source is a source of its own, last in order. Rows that agree in
-all columns used (doc_id, text, source) have one hash and are taken together. A source without words
-has target 0. An empty table gives an empty table. Extra columns are carried along by ``mix``.
+all columns used (doc_id, text, source) are numbered, and each number has a hash of its own, so of
+equal rows as many are taken as their source needs; which of them is open, as nothing tells them apart.
+A source without words has target 0. An empty table gives an empty table. Extra columns are carried
+along by ``mix``.
+
+Sources, not documents, pass through one task, to be ranked by name and by how full they are.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ BITS = 10  # of hash that each level of the histogram looks at
 LEVELS = 3
 SEED = 20_240_601
 SOURCES = 200_000  # up to so many rows the table of thresholds is broadcast
+REPEATED = 1_000_000  # up to so many hashes of repeated rows are broadcast
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -38,6 +43,46 @@ def row_hash(doc_id: Column, text: Column, seed: int = SEED) -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), doc_id, text), 1)
 
 
+def _repeated(light: DataFrame) -> DataFrame:
+    """(source, h) of rows that stand more than once."""
+    return keep(light.groupBy("source", "h").agg(F.count("*").alias("n")).where("n > 1").select(F.col("source").alias("again_source"), F.col("h").alias("again_h")), "repeated")
+
+
+def _of(again: DataFrame):
+    few = F.broadcast(again) if bounded(again, REPEATED) else again
+    return few, F.col("source").eqNullSafe(F.col("again_source")) & (F.col("h") == F.col("again_h"))
+
+
+def _own_hashes(rows: DataFrame) -> DataFrame:
+    """rows(source, h, part, id, ...), a written table of repeated rows: h of each now depends on its number among its equals.
+
+    Rows are numbered within the partition they were written in, after those of the partitions before, so
+    a row that makes up a third of the table is numbered in many tasks.
+    """
+    key = ("source", "h", "part")
+    parts = rows.groupBy(*key).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("source", "h").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(F.col("source").alias("s"), F.col("h").alias("g"), F.col("part").alias("p"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inner = rows.withColumn("number", F.row_number().over(Window.partitionBy(*key).orderBy("id")))
+    inner = inner.join(parts, F.col("source").eqNullSafe(F.col("s")) & (F.col("h") == F.col("g")) & (F.col("part") == F.col("p")))
+    return inner.withColumn("h", F.shiftrightunsigned(F.xxhash64("h", F.col("before") + F.col("number")), 1)).select(*rows.columns)
+
+
+def _place() -> list[Column]:
+    return [F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("id")]
+
+
+def _light(docs: DataFrame, *names: str) -> tuple[DataFrame, DataFrame]:
+    """((names, source, size, h), written, h being each row's own; (source, h) of rows that stand more than once)"""
+    light = keep(docs.select(*names, "source", words(F.col("text")).alias("size"), row_hash(F.col("doc_id"), F.col("text")).alias("h"), *_place()), "sizes")
+    again = _repeated(light)
+    if again.isEmpty():
+        return light, again
+    few, same = _of(again)
+    own = _own_hashes(light.join(few, same, "left_semi"))
+    return keep(light.join(few, same, "left_anti").unionAll(own), "own_hashes"), again
+
+
 def targets(sizes: DataFrame) -> DataFrame:
     """sizes(source, source_size) -> also target: shares by weight, none above MOST times its size.
 
@@ -103,17 +148,21 @@ def _times(df: DataFrame, marks: DataFrame) -> DataFrame:
 
 def plan_mix(docs: DataFrame) -> DataFrame:
     """One row for each document: doc_id, size, source_size, target, taken, source, times."""
-    light = keep(docs.select("doc_id", "source", words(F.col("text")).alias("size"), row_hash(F.col("doc_id"), F.col("text")).alias("h")), "sizes")
-    marks = thresholds(light)
-    out = _times(light.withColumnRenamed("h", "mix_hash"), marks)
+    light, _ = _light(docs, "doc_id")
+    out = _times(light.select("doc_id", "source", "size", F.col("h").alias("mix_hash")), thresholds(light))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).cast("long").alias("taken"), "source", F.col("times").cast("int").alias("times"))
 
 
 def mix(docs: DataFrame) -> DataFrame:
     """The mix itself: every row of docs as often as it is taken, with docs' columns."""
     names = docs.columns
-    light = keep(docs.select("source", words(F.col("text")).alias("size"), row_hash(F.col("doc_id"), F.col("text")).alias("h")), "sizes")
+    light, again = _light(docs)
     marks = thresholds(light)
-    inner = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), F.col("source"), row_hash(F.col("doc_id"), F.col("text")).alias("mix_hash"))
-    out = _times(inner, marks).where("times > 0")
+    inner = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), F.col("source"), row_hash(F.col("doc_id"), F.col("text")).alias("h"))
+    if not again.isEmpty():
+        few, same = _of(again)
+        # repeated rows are numbered anew here: equal numbers have equal hashes, so as many are taken
+        own = _own_hashes(keep(inner.join(few, same, "left_semi").select("*", *_place()), "repeated_rows"))
+        inner = inner.join(few, same, "left_anti").unionAll(own.select(*inner.columns))
+    out = _times(inner.withColumnRenamed("h", "mix_hash"), marks).where("times > 0")
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(*[F.col("row").getField(n).alias(n) for n in names])

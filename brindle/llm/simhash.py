@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import Forest, bounded, keep, numbered, runs, text_keys, texts
+from .common import SMALL, Forest, bounded, join_unique, keep, numbered, runs, text_keys, texts
 from .components import components
 
 K = 3
@@ -52,7 +52,6 @@ NEAR = 7  # bits that near copies may differ in, for dedup
 WORDS = 5  # of the shingles that dedup verifies by
 SIMILAR = 0.8
 BLOCK = 2048  # texts of a component that are verified at once
-SMALL = 1_000_000  # up to so many rows of keys are broadcast
 CENTRES = 2_000  # up to so many centres are broadcast, if their shingles are at most
 CENTRE_WORDS = 4_000_000
 SAMPLE = 20_000  # fingerprints from which candidate counts are estimated
@@ -364,18 +363,21 @@ def links(fps: DataFrame, k: int = K) -> DataFrame:
 
 
 def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, k1, k2, fp), (fp, component_id)), both written."""
+    """((doc_id, k1, k2, fp), (fp, component_id, n)), both written; n rows have fp."""
     each = keep(fingerprints(docs), "fingerprints")
-    nodes = keep(each.groupBy("fp").agg(F.min("doc_id").alias("id")), "nodes")
+    nodes = keep(each.groupBy("fp").agg(F.min("doc_id").alias("id"), F.count("*").alias("n")), "nodes")
     roots = components(links(nodes)).select(F.col("node").alias("fp"), "root")
-    named = keep(nodes.join(roots, "fp", "left").select("fp", "id", F.coalesce("root", "fp").alias("root")), "named")
-    ids = keep(named.groupBy("root").agg(F.min("id").alias("component_id")), "ids")
-    return each, keep(named.join(ids, "root").select("fp", "component_id"), "classes")
+    named = keep(nodes.join(roots, "fp", "left").select("fp", "id", "n", "root"), "named")
+    size = F.count("*").alias("n")
+    linked = named.where("root is not null")
+    ids = keep(linked.groupBy("root").agg(F.min("id").alias("component_id"), size), "ids")
+    told = join_unique(linked, ids, ["root"], linked.count()).select("fp", "component_id", "n")
+    return each, keep(told.unionAll(named.where("root is null").select("fp", "id", "n")), "classes")
 
 
 def op6(docs: DataFrame) -> DataFrame:
     each, classes = _components(docs)
-    return each.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return join_unique(each, classes, ["fp"], each.count()).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 # --- near copies by exact sets of shingles, for dedup ---
@@ -480,10 +482,11 @@ def near_classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     entries = keep(entries, "entries")
     each = entries.groupBy("k1", "k2").agg(F.min("fp").alias("fp"), F.min("doc_id").alias("doc_id"))
     each = keep(each.withColumn("node", F.monotonically_increasing_id()), "texts")
-    roots = components(links(keep(each.select("fp").distinct(), "fps"), NEAR)).select(F.col("node").alias("fp"), "root")
-    rooted = keep(each.join(roots, "fp", "left").select("node", "k1", "k2", F.coalesce("root", "fp").alias("root")), "rooted")
-    shared = rooted.groupBy("root").agg(F.count("*").alias("n")).where("n > 1").select("root")
-    wanted = keep(rooted.join(shared, "root"), "candidates")
+    fps = keep(each.groupBy("fp").agg(F.count("*").alias("n")), "fps")
+    roots = components(links(fps, NEAR)).select(F.col("node").alias("fp"), "root")
+    # only fingerprints that two texts have, or that are linked, make candidates
+    shared = keep(fps.join(roots, "fp", "left").where("n > 1 or root is not null").select("fp", "n", F.coalesce("root", "fp").alias("root")), "shared")
+    wanted = keep(join_unique(each, shared, ["fp"], each.count()).where("root is not null").select("root", "node", "k1", "k2"), "candidates")
     near = F.broadcast(wanted) if bounded(wanted, SMALL) else wanted
     some = docs.select("text", *text_keys(F.col("text"))).join(near, ["k1", "k2"]).select("root", "node", "text")
     sets = some.mapInArrow(_sets("text"), "root long, node long, words array<long>").groupBy("root", "node").agg(F.first("words").alias("words"))

@@ -89,9 +89,33 @@ def test_against_brute_force(spark, case, hot, monkeypatch):
     assert {d: t or "" for d, t in texts.items()} == {d: t for d, (_, t) in want.items()}
 
 
+def test_rows_of_one_doc_id_or_none_stand_for_themselves(spark):
+    h, one, two = (f"{w} line of more than twenty letters" for w in ("common", "unique first of all", "second and different"))
+    same = f"{h}\n{one} again\nthe end"
+    rows = [(None, f"{h}\n{one}"), (None, f"{two}\n{h}"), (4, same), (4, same), (4, f"short\n{two} but longer"), (5, None), (5, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    texts = [(r.doc_id, r.text) for r in L.dedup_lines(df).collect()]
+    assert len(texts) == 7
+    left = [x for _, t in texts for x in (t or "").split("\n") if x]
+    assert sorted(left) == sorted([h, one, two, f"{one} again", "the end", "short", f"{two} but longer"])
+    assert [t for d, t in texts if d == 4].count("") == 1  # of equal rows one keeps its lines
+    got = sorted(map(tuple, L.op10(df).collect()), key=repr)
+    assert len(got) == 7 and sum(r[2] for r in got) == 6 - 1 - 1 + 1 and [r[1:] for r in got if r[0] == 5] == [(0, 0, 0), (0, 0, 0)]
+
+
+def test_names_of_lines_and_long_ones(spark, monkeypatch):
+    monkeypatch.setattr(L, "HOT_CHARS", 3_000)  # keys of many characters go in blocks too
+    base = "a very long line " * 60
+    rows = [(i, base + f"{i:02d}") for i in range(30)] + [(99, f"x{base}05")]
+    got = L.op10(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(r.n_repeated for r in got) == 30
+    ids = {L.line_id(f"line {i}") for i in range(1000)}
+    assert len(ids) == 1000 and all(-(1 << 63) <= x < 1 << 63 for i in ids for x in i)
+
+
 def test_odd_rows_and_empty(docs, clashing, empty):
     got = L.op10(docs).collect()
-    assert len(got) == docs.select("doc_id").distinct().count()
+    assert len(got) == docs.count()
     out = L.dedup_lines(clashing)
     assert out.columns == clashing.columns and out.count() == clashing.count()
     assert L.op10(empty).count() == 0 and L.dedup_lines(empty).count() == 0

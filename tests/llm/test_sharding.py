@@ -10,7 +10,7 @@ def test_best_fit_takes_the_tightest_room():
 
 
 def test_pack_is_near_the_optimum():
-    items = [((i * 7919) % 101 + 1, i) for i in range(500)]
+    items = sorted((((i * 7919) % 101 + 1, i) for i in range(500)), reverse=True)
     where = S.pack(items, 7)
     load = defaultdict(int)
     for size, i in items:
@@ -54,6 +54,40 @@ def test_a_group_of_a_third_of_all_rows_is_cut(spark):
     assert max(load.values()) / min(load.values()) < 1.02
 
 
+def test_tree_against_a_sorted_list():
+    import random
+    from bisect import bisect_left, insort
+
+    rng, rooms, plain = random.Random(3), S.Rooms(), []
+    for i in range(3000):
+        if plain and rng.random() < 0.5:
+            size = rng.randrange(1000)
+            at = bisect_left(plain, (size, -1))
+            assert rooms.take(size) == (plain.pop(at) if at < len(plain) else None)
+        else:
+            key = (rng.randrange(1000), i)
+            rooms.add(*key)
+            insort(plain, key)
+
+
+def test_equal_rows_that_make_up_a_third(spark):
+    rows = [(7, "hot " * 20) for _ in range(2000)] + [(None, "warm " * 16) for _ in range(1000)] + [(i, f"t{i} " * 18) for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    load = _check(S.op4(docs).collect(), docs.collect())
+    assert max(load.values()) / min(load.values()) < 1.02
+
+
+def test_small_groups_stay_whole_and_go_by_size(spark):
+    rows = [(i, f"group {i % 700} " * (1 + i % 700 % 40)) for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = S.shard(docs).collect()
+    by = defaultdict(set)
+    for r in got:
+        by[r.text].add(r.shard)
+    load = _check(got, docs.collect())
+    assert all(len(s) == 1 for s in by.values()) and max(load.values()) / min(load.values()) < 1.05
+
+
 def test_columns_and_empty(clashing, empty):
     out = S.shard(clashing)
     assert out.columns == [c for c in clashing.columns if c not in ("size", "shard", "slot")] + ["size", "text_crc32", "shard", "slot"]
