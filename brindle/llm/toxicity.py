@@ -11,10 +11,12 @@ Every match is then seen in its context window: a term between quotation marks,
 reports speech, counts apart from one that is used. A logistic model over these counts gives the score.
 
 Fitting uses a bounded sample of labelled rows (``FIT_ROWS``, chosen by a hash of doc_id) outside the
-held-out fold. Scoring sees every whole text, and only the text.
+held-out fold; any word of it, short or long, frequent or not, is tried as a term, and the evidence alone
+decides. Scoring sees every whole text, and only the text.
 
 Nulls: a null text is scored like an empty one; a null doc_id is never labelled. A document labelled
-more than once counts as toxic if any label says so. No labels: score 0 for all. Extra columns with
+more than once counts as toxic if any label says so; of a doc_id with several texts one is fitted on. No
+labels: score 0 for all. Extra columns with
 clashing names are dropped by ``op3`` and kept by ``clean``.
 """
 
@@ -33,15 +35,15 @@ from pyspark.sql import functions as F
 from .common import keep, numbered, texts, with_columns
 
 FIT_ROWS = 20_000
-LEXICON = 5_000  # terms at most, the most telling ones
 CHANCE = 0.5  # terms that chance alone may bring into the lexicon; sets the evidence (G squared) that a term needs
-LEAST_DOCUMENTS = 3  # that hold a term, for it to be tried
 PRECISION = 0.6  # share of a term's documents that are toxic, at least
 SURE = 0.9  # the same for a beginning
 LONG = 9
 THRESHOLD = 0.3
 AROUND = 80  # characters of context on either side
 STEMS = (3, 4, 5, 6, 7, 8)  # letters of a beginning
+HELD = 2_000_000  # entries of the automaton's states, and CACHED words, that a task remembers; it forgets all beyond
+CACHED = 200_000
 
 _WORD = re.compile(r"\w+")
 _QUOTES = "\"'“”„«»‘’‹›"
@@ -80,9 +82,9 @@ class Matcher:
             own = self.ends.get(node, (0, 0, 0))[2]
             self.allowed[node] = max([own, *(self.allowed[x] for x in self.children[node].values())])
         self.reset()
-        self.memo: dict[str, tuple | None] = {}
 
     def reset(self) -> None:
+        self.held = 0  # entries of all states
         self.names: dict[frozenset, int] = {}
         self.sets: list[frozenset] = []
         self.moves: list[dict[str, int]] = []
@@ -106,6 +108,7 @@ class Matcher:
         k = self.names.setdefault(key, len(self.sets))
         if k == len(self.sets):
             self.sets.append(key)
+            self.held += len(key) + 1
             self.moves.append({})
             ends = [(*self.ends[n], e) for n, e, s in key if not s and n in self.ends]
             self.begun.append(max(((w, 2) for w, stem, _, e in ends if stem and e == 0), default=None))
@@ -133,12 +136,8 @@ class Matcher:
 
     def find(self, word: str) -> tuple[float, int] | None:
         """(weight, kind) of the best match: kind 0 exact, 1 misspelled, 2 a beginning."""
-        if word in self.memo:
-            return self.memo[word]
-        if len(self.sets) > 200_000:
+        if self.held > HELD:
             self.reset()
-        if len(self.memo) > 300_000:
-            self.memo.clear()
         k, best, moves, begun = self.start, None, self.moves, self.begun
         for c in word:
             to = moves[k].get(c)
@@ -151,7 +150,6 @@ class Matcher:
             end = self.ended[k]
             if end and (best is None or (end[0], -end[1]) > (best[0], -best[1])):
                 best = end
-        self.memo[word] = best
         return best
 
 
@@ -161,9 +159,11 @@ class _Cache(dict):
         self.matcher = matcher
 
     def __missing__(self, word):
-        if len(self) > 300_000:
-            self.clear()
-        self[word] = found = self.matcher.find(word)
+        found = self.matcher.find(word)
+        if len(word) <= 100:
+            if len(self) > CACHED:
+                self.clear()
+            self[word] = found
         return found
 
 
@@ -238,7 +238,7 @@ def _terms(batches):
         for some in texts(b.column(0)):
             for t in some:
                 words = set(_WORD.findall(t.lower())) if t else set()
-                own = {f"w{w}" for w in words if 2 < len(w) <= 40}
+                own = {f"w{w}" for w in words}
                 own |= {f"s{w[:n]}" for w in words for n in STEMS if len(w) > n}
                 seen[labels[at]].update(own)
                 at += 1
@@ -248,8 +248,32 @@ def _terms(batches):
         yield pa.RecordBatch.from_arrays([pa.array(part), pa.array([seen[1][t] for t in part], pa.int64()), pa.array([seen[0][t] for t in part], pa.int64())], names=["term", "pos", "neg"])
 
 
+def _g2(a: float, b: float, n1: float, n0: float) -> float:
+    """G squared of a term in a of n1 toxic documents and b of n0 others."""
+    rate = (a + b) / (n1 + n0)
+    of = lambda x, n, p: x * np.log(x / (n * p)) if x > 0 else 0.0
+    return 2 * sum(of(k, n, rate) + of(n - k, n, 1 - rate) for k, n in ((a, n1), (b, n0)))
+
+
+def evidence(spread: dict[int, int], n1: float, n0: float) -> float:
+    """G squared that a term needs, if `spread` says how many terms stand in so many documents.
+
+    A term in few documents can't reach it even if all of them are toxic, so it isn't a trial (Tarone's
+    correction): the need is set by the number of terms that stand in at least k documents, for the least
+    k at which they could meet it.
+    """
+    tried, need = 0, float("inf")
+    for k in sorted(spread, reverse=True):
+        tried += spread[k]
+        own = NormalDist().inv_cdf(1 - min(0.5, CHANCE / tried) / 2) ** 2
+        if _g2(min(k, n1), max(0, k - n1), n1, n0) < own:
+            break
+        need = own
+    return need
+
+
 def lexicon(sample: DataFrame) -> dict[tuple[str, bool], float]:
-    """sample(text, toxic) -> weights of terms by smoothed log odds; at most LEXICON reach the driver."""
+    """sample(text, toxic) -> weights of terms by smoothed log odds: all that the evidence speaks for."""
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     pos_n, neg_n = n.get(1, 0), n.get(0, 0)
     if not pos_n or not neg_n:
@@ -263,10 +287,11 @@ def lexicon(sample: DataFrame) -> dict[tuple[str, bool], float]:
 
     odds = F.log((a + 0.5) / (n1 - a + 0.5)) - F.log((b + 0.5) / (n0 - b + 0.5))
     found = sample.select("text", "toxic").mapInArrow(_terms, "term string, pos long, neg long").groupBy("term").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    tried = keep(found.where(a + b >= LEAST_DOCUMENTS), "toxic_terms")
-    evidence = NormalDist().inv_cdf(1 - min(0.5, CHANCE / max(1, tried.count())) / 2) ** 2
-    found = tried.where((a / n1 > b / n0) & (a / (a + b) >= PRECISION)).withColumn("g2", 2 * (part(a, n1) + part(b, n0))).where(F.col("g2") >= evidence)
-    rows = found.withColumn("weight", odds).orderBy(F.desc("g2"), "term").limit(LEXICON).collect()
+    tried = keep(found, "toxic_terms")
+    spread = {r["k"]: r["n"] for r in tried.groupBy((F.col("pos") + F.col("neg")).alias("k")).agg(F.count("*").alias("n")).collect()}  # no more than documents in the sample
+    need = evidence(spread, pos_n, neg_n)
+    found = tried.where((a / n1 > b / n0) & (a / (a + b) >= PRECISION)).withColumn("g2", 2 * (part(a, n1) + part(b, n0))).where(F.col("g2") >= need)
+    rows = found.withColumn("weight", odds).collect()
     return chosen([(r["term"][1:], r["term"][0] == "s", r["pos"], r["neg"], r["weight"]) for r in rows])
 
 
@@ -292,7 +317,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict, np.ndarray]:
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic"))
     share = min(1.0, FIT_ROWS / max(1, known.count()))
     known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).limit(2 * FIT_ROWS)
-    sample = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id").select("text", "toxic").where("text is not null")
+    # one text for each doc_id, so that repeated ids don't outgrow the bound
+    sample = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(known), "doc_id")
+    sample = sample.groupBy("doc_id").agg(F.max_by("text", F.xxhash64("text")).alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")
     # copies and most near copies count once, or the words of a much copied document would pass for telling ones
     sketched = sample.mapInArrow(_sketches, "text string, toxic int, sketch long").groupBy("sketch").agg(F.max_by("text", F.xxhash64("text")).alias("text"), F.max("toxic").alias("toxic"))
     sample = keep(sketched.select("text", "toxic"), "toxic_sample")

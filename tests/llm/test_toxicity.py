@@ -87,6 +87,40 @@ def test_misspelled_and_planted_documents(spark, planted):
     assert got == {90_001: 1, 90_002: 0}
 
 
+def test_terms_of_any_length_are_tried(spark):
+    """Words of one letter, and of sixty, that only toxic documents hold."""
+    long = "q" + "ab" * 30
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choice(["one", "two", "three", "four"]) for _ in range(9)) + (f" {long}" if i % 4 == 0 else " ж" if i % 4 == 1 else "")) for i in range(400)]
+    sample = spark.createDataFrame([(t, int(i % 4 < 2)) for i, t in rows], "text string, toxic int")
+    terms = T.lexicon(sample)
+    assert (long, False) in terms and ("ж", False) in terms
+    m = T.Matcher(terms)
+    assert m.find(long[:30] + "x" + long[31:])[1] == 1
+
+
+def test_evidence_counts_what_could_meet_it():
+    """Terms in too few documents are no trials; one more document each may make them so."""
+    import statistics
+
+    need = T.evidence({1: 10**6, 2: 10**5, 8: 1000, 20: 100}, 500, 5000)
+    inv = statistics.NormalDist().inv_cdf
+    assert need == pytest.approx(inv(1 - T.CHANCE / 1100 / 2) ** 2)
+    assert T.evidence({1: 50}, 5, 5) == float("inf")
+    n = [T._g2(a, b, 40, 160) for a, b in ((8, 32), (20, 0), (0, 20))]
+    assert n[0] == pytest.approx(0) and n[1] > 60 and n[2] > 5
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    terms = {("idiot", False): 5.0, ("lowe", True): 4.0, ("worthless", False): 3.0}
+    words = ["idiot", "idoit", "loweshaft", "worthles", "wrthlss", "fine", "x" * 300] * 5
+    want = [T._Cache(T.Matcher(terms))[w] for w in words]
+    monkeypatch.setattr(T, "HELD", 3)
+    monkeypatch.setattr(T, "CACHED", 2)
+    c = T._Cache(T.Matcher(terms))
+    assert [c[w] for w in words] == want
+
+
 def test_odd_rows_and_no_labels(spark, docs, clashing, tables, empty):
     labels = tables("labels")
     out = T.op3(docs, labels).collect()
