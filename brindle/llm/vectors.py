@@ -11,7 +11,8 @@ forests of all passes are united to components.
 Links are then counted exactly within each component, without emitting pairs. A large component is
 first seen from its centre: members within half the angle of the threshold are all linked with each
 other (angles add up at most), so they are counted, not compared. Only members outside that core are
-compared, with all others, in blocks of ``BLOCK``.
+compared, with all others, in blocks of ``BLOCK``: n of them, of a component that has no core at all, are
+dealt out n / BLOCK times.
 
 No link is missed inside a component; a component could fall apart only if no pass brought two of its
 halves together. For a pair alone at the threshold that happens with a probability of at most about
@@ -39,7 +40,9 @@ PASSES = 16  # at least
 RECALL = 0.95  # chance that a pair at the threshold meets in some pass
 BITS = 48
 WINDOW = 24
-BLOCK = 256
+CORE = 256  # members above which a component is first seen from its centre
+BLOCK = 4096  # members that are compared at once with as many others
+CHUNK = 256  # rows of that comparison
 CENTRES = 50_000  # up to so many centres of large components are broadcast
 SEED = 7
 
@@ -182,8 +185,8 @@ def _count(batches):
         alone = not len(right)
         other = left if alone else right
         found = np.zeros(len(node), np.int64)
-        for lo in range(0, len(left), BLOCK):
-            own = left[lo : lo + BLOCK]
+        for lo in range(0, len(left), CHUNK):
+            own = left[lo : lo + CHUNK]
             hit = x[own] @ x[other].T >= THRESHOLD
             if alone:
                 hit[np.arange(len(own)), lo + np.arange(len(own))] = False
@@ -215,7 +218,7 @@ def _count(batches):
 def _linked(members: DataFrame) -> DataFrame:
     """members(root, node, vector, copies) -> (node, linked): copies of other nodes that a node links with, exactly."""
     size = members.groupBy("root").agg(F.count("*").alias("n"))
-    large = keep(size.where(F.col("n") > BLOCK), "large")
+    large = keep(size.where(F.col("n") > CORE), "large")
     kind = members.schema["vector"].dataType.simpleString()
     small_side = F.broadcast if bounded(large, CENTRES) else (lambda df: df)
     if large.isEmpty():

@@ -51,6 +51,7 @@ def test_against_brute_force(spark):
 def test_large_groups_by_their_core(spark, monkeypatch, spread):
     """More members than a block: the core is counted, the fringe compared."""
     monkeypatch.setattr(V, "BLOCK", 32)
+    monkeypatch.setattr(V, "CORE", 32)
     rng = np.random.default_rng(2)
     rows = list(enumerate(_rows(rng, [(150, spread), (70, 0.3)], 60)))
     got = sorted(map(tuple, V.near_vectors(spark.createDataFrame(rows, SCHEMA)).collect()), key=repr)
