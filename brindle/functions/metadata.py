@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -12,10 +13,14 @@ from ..errors import BatchParseError, CompressedBody, OpenError
 from .paths import open_file
 
 #: fixed values of the format
-MAGIC = b"ARROW1"
+MAGIC, CONTINUATION = b"ARROW1", b"\xff\xff\xff\xff"
 LEAST_SIZE = 22  # both magics, padding, an empty schema's length
-MESSAGE_HEADER, BATCH_LENGTH, BATCH_COMPRESSION = 2, 0, 3  # field numbers in Message and RecordBatch
+MESSAGE_KIND, MESSAGE_HEADER, MESSAGE_BODY, BATCH_LENGTH, BATCH_COMPRESSION = 1, 2, 3, 0, 3  # field numbers in Message and RecordBatch
+DICTIONARY_KIND, BATCH_KIND = 2, 3  # values of MESSAGE_KIND
 DICTIONARY_DATA = 1  # field number of the batch in DictionaryBatch
+DICTIONARIES, BATCHES = 2, 3  # field numbers of the vectors of blocks in Footer
+BLOCK, BLOCK_SIZE = "<qi4xq", 24  # where a message begins, bytes of its metadata, bytes of its body
+READERS = 16  # metadata of so many batches is fetched at once from a remote file
 
 
 @dataclass(frozen=True)
@@ -46,6 +51,7 @@ class OpenedFile:
             self.reader = ipc.open_file(self.source)
             self.schema = self.reader.schema
             self.size = size
+            self.footer = (size - 10 - footer, footer)
         except (OSError, pa.ArrowException, struct.error, UnicodeDecodeError) as e:
             self.source.close()
             raise OpenError(operation, f"{path}: {e}") from e
@@ -62,59 +68,87 @@ class OpenedFile:
     def __exit__(self, *_):
         self.source.close()
 
-    def messages(self):
-        """(kind, rows, compressed, bytes of the body) of each message, from metadata alone on a mapped file."""
-        self.source.seek(8)
-        reader = ipc.MessageReader.open_stream(self.source)
-        left = self.reader.num_record_batches
-        while left:
-            try:
-                message = reader.read_next_message()
-            except StopIteration:
-                return
-            except (OSError, pa.ArrowException) as e:
-                raise BatchParseError(self.operation, f"{self.path}: {e}") from e
-            if message.type not in ("record batch", "dictionary"):
-                continue
-            left -= message.type == "record batch"
-            yield (message.type, *_batch_facts(message.metadata, message.type == "dictionary", self), message.body.size if message.body else 0)
+    def blocks(self) -> dict[str, list[tuple[int, int, int]]]:
+        """(begin, bytes of metadata, bytes of body) of each dictionary and record batch, as the footer tells."""
+        at, size = self.footer
+        data = self.source.read_at(size, at)
+        try:
+            root = _follow(data, 0)
+            out = {kind: _vector(data, _place(data, root, n)) for kind, n in (("dictionary", DICTIONARIES), ("record batch", BATCHES))}
+        except (struct.error, ValueError, IndexError) as e:
+            raise BatchParseError(self.operation, f"{self.path}: {e}") from e
+        for begin, metadata, body in (b for kind in out.values() for b in kind):
+            if begin < 8 or metadata < 8 or body < 0 or begin + metadata + body > at:
+                raise BatchParseError(self.operation, f"{self.path}: a batch at {begin} of {metadata} + {body} bytes")
+        return out
+
+    def facts(self, block: tuple[int, int, int], dictionary: bool) -> tuple[int, bool]:
+        """(rows, whether compressed) of a batch; reads its metadata only."""
+        begin, size, body = block
+        try:
+            data = self.source.read_at(size, begin)
+            skip = 8 if data[:4] == CONTINUATION else 4  # files of old writers lack the mark
+            n = struct.unpack_from("<i", data, skip - 4)[0]
+            if not 0 < n <= len(data) - skip:
+                raise ValueError(f"a message of {n} bytes")
+            return _batch_facts(data[skip : skip + n], dictionary, body)
+        except (OSError, pa.ArrowException, struct.error, ValueError, IndexError) as e:
+            raise BatchParseError(self.operation, f"{self.path}: {e}") from e
 
     def batches(self, strict: bool = True) -> list[BatchInfo]:
-        """All record batches; a compressed one, or a compressed dictionary, is an error unless strict is off."""
+        """All record batches; a compressed one, or a compressed dictionary, is an error unless strict is off. No body is read."""
+        blocks = self.blocks()
+        own = blocks["record batch"]
+        if len(own) != self.reader.num_record_batches:
+            raise BatchParseError(self.operation, f"{self.path} has {len(own)} of {self.reader.num_record_batches} batches")
+        wanted = [(b, False) for b in own] + ([(b, True) for b in blocks["dictionary"]] if strict else [])
+        if isinstance(self.source, pa.MemoryMappedFile) or len(wanted) < 2:
+            facts = [self.facts(*w) for w in wanted]
+        else:
+            with ThreadPoolExecutor(min(READERS, len(wanted))) as pool:
+                facts = list(pool.map(lambda w: self.facts(*w), wanted))
+        if strict and any(compressed for _, compressed in facts):
+            raise CompressedBody(self.operation, self.path)
         out, upto = [], 0
-        for kind, rows, compressed, size in self.messages():
-            if compressed and strict:
-                raise CompressedBody(self.operation, self.path)
-            if kind == "record batch":
-                out.append(BatchInfo(len(out), rows, upto, size))
-                upto += rows
-        if len(out) != self.reader.num_record_batches:
-            raise BatchParseError(self.operation, f"{self.path} has {len(out)} of {self.reader.num_record_batches} batches")
+        for (_, _, body), (rows, _) in zip(own, facts, strict=False):
+            out.append(BatchInfo(len(out), rows, upto, body))
+            upto += rows
         return out
 
 
-def _batch_facts(metadata: pa.Buffer, dictionary: bool, opened: OpenedFile) -> tuple[int, bool]:
-    data = metadata.to_pybytes()
-
-    def place(table: int, number: int) -> int:
-        """Where a table's field lies; 0 if it isn't there."""
-        vtable = table - struct.unpack_from("<i", data, table)[0]
-        if 4 + 2 * number >= struct.unpack_from("<H", data, vtable)[0]:
-            return 0
-        off = struct.unpack_from("<H", data, vtable + 4 + 2 * number)[0]
-        return table + off if off else 0
-
-    def follow(at: int) -> int:
-        return at + struct.unpack_from("<I", data, at)[0]
-
-    try:
-        table = follow(place(follow(0), MESSAGE_HEADER))
-        if dictionary:
-            table = follow(place(table, DICTIONARY_DATA))
-        at = place(table, BATCH_LENGTH)
-        rows = struct.unpack_from("<q", data, at)[0] if at else 0
-        if rows < 0:
-            raise ValueError(f"a batch of {rows} rows")
-        return rows, bool(place(table, BATCH_COMPRESSION))
-    except (struct.error, ValueError, IndexError) as e:
-        raise BatchParseError(opened.operation, f"{opened.path}: {e}") from e
+def _place(data: bytes, table: int, number: int) -> int:
+    """Where a table's field lies; 0 if it isn't there."""
+    vtable = table - struct.unpack_from("<i", data, table)[0]
+    if vtable < 0 or 4 + 2 * number >= struct.unpack_from("<H", data, vtable)[0]:
+        return 0
+    off = struct.unpack_from("<H", data, vtable + 4 + 2 * number)[0]
+    return table + off if off else 0
+
+
+def _follow(data: bytes, at: int) -> int:
+    return at + struct.unpack_from("<I", data, at)[0]
+
+
+def _vector(data: bytes, at: int) -> list[tuple[int, int, int]]:
+    if not at:
+        return []
+    at = _follow(data, at)
+    n = struct.unpack_from("<I", data, at)[0]
+    if at + 4 + n * BLOCK_SIZE > len(data):
+        raise ValueError(f"a list of {n} batches")
+    return [struct.unpack_from(BLOCK, data, at + 4 + i * BLOCK_SIZE) for i in range(n)]
+
+
+def _batch_facts(data: bytes, dictionary: bool, body: int) -> tuple[int, bool]:
+    message = _follow(data, 0)
+    kind, size = _place(data, message, MESSAGE_KIND), _place(data, message, MESSAGE_BODY)
+    if not kind or data[kind] != (DICTIONARY_KIND if dictionary else BATCH_KIND) or (struct.unpack_from("<q", data, size)[0] if size else 0) != body:
+        raise ValueError("the footer points at another message")
+    table = _follow(data, _place(data, message, MESSAGE_HEADER))
+    if dictionary:
+        table = _follow(data, _place(data, table, DICTIONARY_DATA))
+    at = _place(data, table, BATCH_LENGTH)
+    rows = struct.unpack_from("<q", data, at)[0] if at else 0
+    if rows < 0:
+        raise ValueError(f"a batch of {rows} rows")
+    return rows, bool(_place(data, table, BATCH_COMPRESSION))

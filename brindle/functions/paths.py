@@ -25,6 +25,17 @@ def plain(path, operation: str) -> str:
     return path[1:] if path.startswith(":") else path
 
 
+def qualified(spark, path: str) -> str:
+    """The path as Spark understands it: one without a scheme lies in the default file system, so that what Spark and what pyarrow open is the same file."""
+    if "://" in path or path.startswith("file:"):
+        return path
+    sc = spark.sparkContext
+    if sc._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(sc._jsc.hadoopConfiguration()).getScheme() == "file":
+        return path
+    where = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(where).toString()
+
+
 def resolve(path: str, operation: str) -> tuple[pafs.FileSystem, str]:
     try:
         if "://" in path or path.startswith("file:"):
@@ -52,6 +63,21 @@ def data_files(path: str, operation: str) -> list[str]:
     return [f"{head}/{f.base_name}" for f in sorted(found, key=lambda f: f.base_name)]
 
 
+def stamps(path: str, operation: str) -> dict[str, str]:
+    """Size and time of the file, by its path, or of each of a folder's files, by its name; a folder may still be empty."""
+    fs, p = resolve(path, operation)
+    told = lambda f: f"{f.size}@{f.mtime_ns or 0}"
+    try:
+        info = fs.get_file_info(p)
+        if info.type == pafs.FileType.NotFound:
+            raise OpenError(operation, f"{path} does not exist")
+        if info.type != pafs.FileType.Directory:
+            return {path: told(info)}
+        return {f.base_name: told(f) for f in fs.get_file_info(pafs.FileSelector(p)) if f.type == pafs.FileType.File and f.base_name[0] not in "._"}
+    except OSError as e:
+        raise OpenError(operation, str(e)) from e
+
+
 def open_file(path: str, operation: str):
     """A random access file; local ones are mapped, so a task touches only the pages it decodes."""
     fs, p = resolve(path, operation)
@@ -66,7 +92,7 @@ def scratch_root(spark) -> str:
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if root:
-        return root.rstrip("/")
+        return qualified(spark, root.rstrip("/"))
     made = sc._jsc.sc().getCheckpointDir()
     if made.isDefined():
         return made.get().rstrip("/")

@@ -8,11 +8,13 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
 import pyarrow as pa
 from pyarrow import fs as pafs
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +22,10 @@ from pyspark.sql import functions as F
 from ..errors import ArrowIpcError, BadArgument, CreateError
 from ..functions import nulls as null_forms
 from ..functions.metadata import BatchInfo, OpenedFile
-from ..functions.paths import SUFFIXES, data_files, plain, resolve
+from ..functions.paths import SUFFIXES, data_files, plain, qualified, resolve
 from ..functions.times import ntz_of_micros
 from ..functions.types import spark_to_arrow
-from ..sources.arrow_ipc import ROW_INDEX, ArrowIpcDataSource, Options, columns_of
+from ..sources.arrow_ipc import CONDITIONS, MANY, ROW_INDEX, ArrowIpcDataSource, Options, columns_of
 from ..sources.splay import SplayDataSource, code_of, layout
 
 
@@ -40,16 +42,18 @@ def _nulls(mode: str, operation: str) -> bool:
     return mode == "compat"
 
 
-def read_arrow(spark: SparkSession, path: str, *, nulls: str = "compat", strict: bool = True, nanos: str = "error", time: str = "time", columns: Sequence[str] | None = None, row_index: bool = False, target_bytes: int | None = None, operation: str = "arrow_read") -> DataFrame:
+def read_arrow(spark: SparkSession, path: str, *, nulls: str = "compat", strict: bool = True, nanos: str = "error", time: str = "time", columns: Sequence[str] | None = None, row_index: bool = False, target_bytes: int | None = None, where: Sequence[tuple] = (), operation: str = "arrow_read") -> DataFrame:
     """An Arrow IPC file, or a folder of them, as a DataFrame.
 
     Files that aren't valid, unsupported column types and compressed bodies raise here, before any
     task runs; data that can't be decoded raises in the task that meets it. nulls: "compat" or
     "native" (see functions.nulls). nanos: what becomes of digits below a microsecond ("error",
     "truncate", or "long": exact nanoseconds since 1970). time: "time" or "int_ms" (milliseconds, any
-    value). columns: the only ones decoded. row_index: adds the row's number as __row_index.
+    value). columns: the only ones decoded. row_index: adds the row's number as __row_index. where:
+    conditions (column, "=", "<", "<=", ">", ">=" or "in", value) that all must hold; rows that can't meet
+    those on whole numbers, dates, booleans and strings don't leave the reader.
     """
-    path, compat = plain(path, operation), _nulls(nulls, operation)
+    path, compat = qualified(spark, plain(path, operation)), _nulls(nulls, operation)
     options = {"strict": strict, "nanos": nanos, "time": time, "tz": "utc" if compat else "zoned", "row_index": row_index, "operation": operation}
     if columns:
         if isinstance(columns, str) or any("," in c for c in columns):
@@ -57,14 +61,25 @@ def read_arrow(spark: SparkSession, path: str, *, nulls: str = "compat", strict:
         options["columns"] = ",".join(columns)
     if target_bytes:
         options["target_bytes"] = target_bytes
+    if any(len(c) != 3 or c[1] not in CONDITIONS for c in where):
+        raise BadArgument(operation, f"where is a list of (column, condition, value), a condition one of {CONDITIONS}")
+    if where:
+        options["where"] = json.dumps([list(c) for c in where], default=str)
     o = Options.of({k: str(v) for k, v in options.items()}, operation)
     files = data_files(path, operation)
     with OpenedFile(files[0], operation) as f:
-        columns_of(f.schema, o)
+        names = {c.name for c in columns_of(f.schema, o)}
+        if strange := [c[0] for c in where if c[0] not in names]:
+            raise BadArgument(operation, f"no column that is read is named {strange[0]!r}")
         f.batches(strict)
     register(spark)
     df = spark.read.format("arrow_ipc").options(**{k: str(v) for k, v in options.items()}).load(path)
-    return null_forms.apply(df, lambda f: None if f.name == ROW_INDEX else null_forms.on_read(f)) if compat else df
+    df = null_forms.apply(df, lambda f: None if f.name == ROW_INDEX else null_forms.on_read(f)) if compat else df
+    # what the reader lets through may still fail: it knows no null forms, and leaves some types alone
+    for name, op, value in where:
+        c = F.col(f"`{name}`")
+        df = df.where(c.isin(list(value)) if op == "in" else {"=": c == value, "<": c < value, "<=": c <= value, ">": c > value, ">=": c >= value}[op])
+    return df
 
 
 def _make(folder: str, operation: str) -> None:
@@ -86,7 +101,8 @@ def write_arrow(df: DataFrame, path: str, *, single_file: bool | None = None, ba
     operation = "arrow_write"
     if not isinstance(df, DataFrame):
         raise BadArgument(operation, "a DataFrame and a path are expected")
-    path, compat = plain(path, operation), _nulls(nulls, operation)
+    told, compat = plain(path, operation), _nulls(nulls, operation)
+    path = qualified(df.sparkSession, told)
     for f in df.schema:
         spark_to_arrow(f, strict=strict, operation=operation)
     register(df.sparkSession)
@@ -96,7 +112,7 @@ def write_arrow(df: DataFrame, path: str, *, single_file: bool | None = None, ba
     if not single:
         _make(path, operation)
         df.write.format("arrow_ipc").options(**options).mode(mode).save(path)
-        return path
+        return told
     if mode != "overwrite":
         raise BadArgument(operation, "a single file can only be overwritten")
     fs, p = resolve(path, operation)
@@ -120,7 +136,7 @@ def write_arrow(df: DataFrame, path: str, *, single_file: bool | None = None, ba
     finally:
         if fs.get_file_info(q).type == pafs.FileType.Directory:
             fs.delete_dir(q)
-    return path
+    return told
 
 
 def stream_arrow(spark: SparkSession, src: str, dst: str, *, format: str = "parquet", nulls: str = "compat", nanos: str | None = None) -> int:
@@ -137,33 +153,60 @@ def stream_arrow(spark: SparkSession, src: str, dst: str, *, format: str = "parq
     nanos = nanos or ("long" if format == "splay" else "error")
     time = "int_ms" if format == "splay" else "time"
     o = Options(nanos=nanos, time=time, operation=operation)
-    rows = 0
-    for p in data_files(plain(src, operation), operation):
-        with OpenedFile(p, operation) as f:
+    src, dst = qualified(spark, plain(src, operation)), qualified(spark, plain(dst, operation))
+    files = data_files(src, operation)
+
+    def checked(path: str) -> int:
+        with OpenedFile(path, operation) as f:
             for c in columns_of(f.schema, o):
                 code_of(c.struct_field(), operation)
-            rows += sum(b.rows for b in f.batches())
+            return sum(b.rows for b in f.batches())
+
+    rows = sum(map(checked, files)) if len(files) <= MANY else _everywhere(spark, files, checked)
     df = read_arrow(spark, src, nulls=nulls, nanos=nanos, time=time, operation=operation)
     if format == "splay":
+        _make(dst, operation)
         # tasks are numbered in row order, which the sink keeps
-        df.write.format("splay").option("operation", operation).mode("overwrite").save(plain(dst, operation))
-        return layout(plain(dst, operation))[0][2]
-    df.write.mode("overwrite").parquet(plain(dst, operation))
+        df.write.format("splay").option("operation", operation).mode("overwrite").save(dst)
+        return layout(dst)[0][2]
+    df.write.mode("overwrite").parquet(dst)
     return rows
 
 
+def _everywhere(spark: SparkSession, files: list[str], check) -> int:
+    """The sum of check over very many files, in tasks; an error of one of them is raised as it is."""
+
+    def run(batches):
+        for b in batches:
+            for path in b.column(0).to_pylist():
+                try:
+                    rows, error = check(path), None
+                except ArrowIpcError as e:
+                    rows, error = 0, cloudpickle.dumps(e)
+                yield pa.RecordBatch.from_arrays([pa.array([rows], pa.int64()), pa.array([error], pa.binary())], names=["rows", "error"])
+
+    got = spark.createDataFrame([(f,) for f in files], "path string").repartition(max(1, len(files) // 64)).mapInArrow(run, "rows long, error binary")
+    total, error = got.agg(F.sum("rows"), F.min("error")).first()
+    if error is not None:
+        raise cloudpickle.loads(error)
+    return total
+
+
 def read_splay(spark: SparkSession, path: str, *, nanos: str = "error", row_index: bool = False) -> DataFrame:
     register(spark)
-    path = plain(path, "splay_read")
+    path = qualified(spark, plain(path, "splay_read"))
     layout(path)
     return spark.read.format("splay").option("nanos", nanos).option("row_index", str(row_index)).load(path)
 
 
-def write_splay(df: DataFrame, path: str) -> str:
+def write_splay(df: DataFrame, path: str, *, mode: str = "overwrite") -> str:
+    """A column folder of df. mode "append" adds rows to one that has the same columns."""
     register(df.sparkSession)
     for f in df.schema:
         code_of(f, "splay_write")
-    df.write.format("splay").option("operation", "splay_write").mode("overwrite").save(plain(path, "splay_write"))
+    to = qualified(df.sparkSession, plain(path, "splay_write"))
+    _make(to, "splay_write")
+    df.write.format("splay").option("operation", "splay_write").mode(mode).save(to)
     return path
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..errors import ArrowIpcError
 from ..functions.paths import resolve, scratch
 from ..functions.times import micros_of, ntz_of_micros
-from ..operators.interchange import arrow_batches, as_uint8, read_arrow, read_splay, stream_arrow, timestamp_of_days, write_arrow
+from ..operators.interchange import arrow_batches, as_uint8, read_arrow, read_splay, stream_arrow, timestamp_of_days, write_arrow, write_splay
 from ..streaming.batches import read_arrow_stream
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages benchmark labels conversations".split()
@@ -231,14 +231,32 @@ def splay_to_arrow(spark, d):
 
 
 def stream_source(spark, d):
-    """Every batch of the file through Structured Streaming, until none is left."""
-    rows = read_arrow_stream(spark, _ipc_of(spark, d, "orders"))
+    """A folder through Structured Streaming that is appended to between triggers, its new files standing before and after the old ones by name."""
+    orders, path = table(spark, d, "orders"), scratch(spark, "ipc")
     out, mark = scratch(spark, "sink"), scratch(spark, "mark")
-    run = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start()
-    run.awaitTermination()
+    third = F.pmod(F.col("o_orderkey"), F.lit(3))
+    for i in range(3):
+        write_arrow(orders.where(third == i).repartition(3), path, batch_rows=5_000, mode="append")
+        rows = read_arrow_stream(spark, path)
+        run = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start()
+        run.awaitTermination()
     return spark.read.schema(rows.schema).parquet(out)
 
 
+def splay_append(spark, d):
+    """A column folder written in two goes."""
+    events, to = table(spark, d, "events"), scratch(spark, "splay")
+    for i in range(2):
+        write_splay(events.where(F.pmod(F.col("event_id"), F.lit(2)) == i), to, mode="append")
+    return read_splay(spark, to)
+
+
+def read_filtered(spark, d):
+    """Conditions that the reader evaluates, on a whole number and a string, and one on a fraction that it leaves to Spark."""
+    df = table(spark, d, "events").select("event_id", F.nullif("event_type", F.lit("click")).alias("s"), "value")
+    return round_trip(df, where=[("event_id", ">", 100), ("s", "in", ["", "view"]), ("value", "<", 90.0)])
+
+
 def high_cardinality(spark, d):
     """Strings that are nearly all different, counted after a round trip."""
     df = table(spark, d, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("s"))
@@ -294,6 +312,10 @@ def _selector(p: str):
     return pafs.FileSelector(p)
 
 
+def _ipc_file(spark: SparkSession, df: DataFrame) -> str:
+    return write_arrow(df, scratch(spark, "file", ".arrow"))
+
+
 def errors(spark, d):
     """What each bad input, type and argument raises, when read, copied or written."""
 
@@ -315,6 +337,10 @@ def errors(spark, d):
     rows.append(("write", "not_a_path", raised(lambda: write_arrow(few, 7))))
     rows.append(("read", "not_a_path", raised(lambda: read_arrow(spark, None))))
     rows.append(("stream", "not_a_path", raised(lambda: stream_arrow(spark, 1, 2))))
+    # a file stands where a folder has to be made
+    at = _ipc_file(spark, few)
+    for name, f in (("write", lambda: write_arrow(few, f"{at}/x.arrow")), ("write_folder", lambda: write_arrow(few, f"{at}/x")), ("stream", lambda: stream_arrow(spark, at, f"{at}/x", format="splay"))):
+        rows.append((name.split("_")[0], "folder_of_a_file" if "_" in name else "in_a_file", raised(f)))
     return spark.createDataFrame(rows, "operation string, case string, error string")
 
 
@@ -324,6 +350,7 @@ _NOT_OPENED = "zero_columns empty_file only_magic all_zero truncated leading_mag
 
 def _errors_sql() -> str:
     rows = [(o, c, e) for o in ("read", "stream") for cases, e in ((_UNSUPPORTED, "UnsupportedColumn"), (_NOT_OPENED, "OpenError"), (["zstd", "lz4"], "CompressedBody"), (["double_magic"], "BatchParseError"), (["not_a_path"], "BadArgument")) for c in cases]
+    rows += [("write", "in_a_file", "CreateError"), ("write", "folder_of_a_file", "CreateError"), ("stream", "in_a_file", "CreateError")]
     rows += [("write", c, "UnsupportedColumn") for c in ("array", "binary", "map", "struct", "decimal")] + [("write", c, "BadArgument") for c in ("not_a_table", "not_a_path")]
     return "SELECT * FROM (VALUES " + ", ".join(f"('{o}', '{c}', '{e}')" for o, c, e in rows) + ') AS t(operation, "case", error)'
 
@@ -338,7 +365,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **{f.__name__: f for f in (rt_bool_null, rt_utf8_null, rt_int_nulls, rt_int_sentinel, rt_float_special, rt_f32, rt_u8, rt_date, rt_time_ms, rt_time_s_scaled, rt_datetime_oneway)},
         **{f"rt_ts_{u}": _ts(u, per) for u, (_, per) in UNITS.items()},
         **{f"rt_duration_{u}": _duration(u, per) for u, (_, per) in UNITS.items()},
-        **{f.__name__: f for f in (read_dictionary, read_large_utf8, read_list, read_sliced, read_empty, read_columns, read_row_index, batch_rows, stream_rows, stream_readback, splay_readback, splay_to_arrow, stream_source, high_cardinality, errors)},
+        **{f.__name__: f for f in (read_dictionary, read_large_utf8, read_list, read_sliced, read_empty, read_columns, read_row_index, batch_rows, stream_rows, stream_readback, splay_readback, splay_to_arrow, splay_append, stream_source, read_filtered, high_cardinality, errors)},
     }
     return found
 
@@ -374,6 +401,8 @@ def oracle_sql() -> dict[str, str]:
         "splay_readback": "SELECT * FROM lineitem",
         "splay_to_arrow": "SELECT * FROM events",
         "stream_source": "SELECT * FROM orders",
+        "splay_append": "SELECT * FROM events",
+        "read_filtered": "SELECT event_id, coalesce(nullif(event_type, 'click'), '') AS s, value FROM events WHERE event_id > 100 AND coalesce(nullif(event_type, 'click'), '') IN ('', 'view') AND value < 90",
         "high_cardinality": "SELECT count(*) AS n, count(DISTINCT l_orderkey || '-' || l_linenumber) AS n_strings FROM lineitem",
         "errors": _errors_sql(),
     }

@@ -2,7 +2,14 @@
 
 Reading: one input partition holds a range of record batches (small ones together, up to
 ``target_bytes``), so a task maps the file and decodes only its own batches. With more than ``MANY``
-files, and no row index wanted, each file is one partition and the driver opens only the first.
+files, and no row index wanted, each file is one partition and the driver opens only the first. The conditions of the option ``where`` are
+evaluated on the decoded batch, so rows that can't match aren't sent to the JVM. (Spark 4.1's own filter
+pushdown for Python sources isn't used: it leaves a query's filters in force for later queries over the same
+DataFrame, which then lose rows.)
+
+Streaming: an offset is the list of the folder's files with their sizes and times, and a trigger reads the
+files that its start doesn't have. Only those are opened. An offset is as long as the folder's list, so
+files that are no longer wanted should be moved away.
 
 Writing: each task writes one part file under a temporary name; the driver's commit gives the parts
 their names, and an abort removes them.
@@ -10,19 +17,22 @@ their names, and an abort removes them.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import uuid
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.ipc as ipc
 from pyarrow import fs as pafs
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceStreamReader, InputPartition, WriterCommitMessage
 
-from ..errors import BadArgument, BatchParseError, CreateError, UnsupportedColumn
+from ..errors import BadArgument, BatchParseError, CreateError, OpenError, UnsupportedColumn
 from ..functions.metadata import OpenedFile
-from ..functions.paths import data_files, plain, resolve
+from ..functions.paths import data_files, plain, resolve, stamps
 from ..functions.types import Column, arrow_to_spark, encode, spark_to_arrow
 
 ROW_INDEX = "__row_index"
@@ -42,6 +52,7 @@ class Options:
     columns: tuple | None = None
     target_bytes: int = TARGET_BYTES
     operation: str = "arrow_read"
+    where: str = "[]"
 
     @staticmethod
     def of(options: dict, operation: str = "arrow_read") -> Options:
@@ -52,7 +63,7 @@ class Options:
             target = int(low.get("target_bytes", TARGET_BYTES))
         except ValueError as e:
             raise BadArgument(operation, f"target_bytes={low['target_bytes']!r}") from e
-        return Options(truth("strict", True), low.get("nanos", "error"), low.get("time", "time"), low.get("tz", "utc"), truth("row_index", False), tuple(n.strip() for n in names.split(",")) if names else None, target, low.get("operation", operation))
+        return Options(truth("strict", True), low.get("nanos", "error"), low.get("time", "time"), low.get("tz", "utc"), truth("row_index", False), tuple(n.strip() for n in names.split(",")) if names else None, target, low.get("operation", operation), low.get("where", "[]"))
 
 
 def columns_of(schema: pa.Schema, o: Options) -> list[Column]:
@@ -82,9 +93,9 @@ class Range(InputPartition):
         self.path, self.first, self.last, self.row_offset = path, first, last, row_offset
 
 
-def ranges(paths: list[str], o: Options) -> list[Range]:
-    """Input partitions in row order."""
-    if len(paths) > MANY and not o.row_index:
+def ranges(paths: list[str], o: Options, within: bool = False) -> list[Range]:
+    """Input partitions in row order; rows are numbered through all files, or within each."""
+    if len(paths) > MANY and (within or not o.row_index):
         return [Range(p, 0, None, 0) for p in paths]
     out, upto = [], 0
     for p in paths:
@@ -97,13 +108,34 @@ def ranges(paths: list[str], o: Options) -> list[Range]:
                 size += b.body_bytes
                 rows = b.row_offset + b.rows
             out.append(Range(p, first, f.reader.num_record_batches, at))
-            upto += rows
+            upto += 0 if within else rows
     return out
 
 
-def decoded(part: Range, columns: list[Column], o: Options):
-    """The record batches of a partition as Spark wants them."""
+COMPARED = {"=": pc.equal, ">": pc.greater, ">=": pc.greater_equal, "<": pc.less, "<=": pc.less_equal}
+CONDITIONS = (*COMPARED, "in")
+
+
+def mask(a: pa.Array, op: str, value) -> pa.Array | None:
+    """Rows for which a condition may hold, as whole numbers, dates, booleans and strings are the same in Arrow; nulls may, as the null forms come later."""
+    t = a.type
+    if not (pa.types.is_integer(t) or pa.types.is_date32(t) or pa.types.is_boolean(t) or pa.types.is_string(t)):
+        return None
+    if op == "in":
+        return pc.or_(a.is_null(), pc.is_in(a, _values(value, t)))
+    return pc.fill_null(COMPARED[op](a, _values([value], t)[0]), True)
+
+
+def _values(values: list, t: pa.DataType) -> pa.Array:
+    return pa.array([dt.date.fromisoformat(v) for v in values] if pa.types.is_date32(t) else values, t)
+
+
+def decoded(part: Range, o: Options, wanted: T.StructType | None = None):
+    """The record batches of a partition as Spark wants them, without rows that the conditions exclude. The file is opened once."""
     with OpenedFile(part.path, o.operation) as f:
+        columns = columns_of(f.schema, o)
+        if wanted is not None and [(c.name, c.dataType) for c in spark_schema(columns, o)] != [(c.name, c.dataType) for c in wanted]:
+            raise BatchParseError(o.operation, f"{part.path}: its columns differ from the first file's")
         if part.last is None:
             f.batches(o.strict)
         reader = f.reader
@@ -117,25 +149,28 @@ def decoded(part: Range, columns: list[Column], o: Options):
             try:
                 batch = reader.get_batch(i)
                 batch.validate()
-                for a in batch.columns:  # times may lie outside a day; whether they may is for the decoder to say
-                    (a.view(pa.int32()) if pa.types.is_time32(a.type) else a).validate(full=True)
-                if o.columns:
-                    arrays = [batch.column(batch.schema.get_field_index(c.name)) for c in columns]
-                else:
-                    arrays = batch.columns
+                # offsets, indices and text could be wrong inside; of fixed widths every value is one
+                for a in batch.columns:
+                    if not pa.types.is_primitive(a.type):
+                        a.validate(full=True)
+                arrays = [batch.column(batch.schema.get_field_index(c.name)) for c in columns] if o.columns else batch.columns
                 out = [c.decode(a) for c, a in zip(columns, arrays, strict=True)]
                 for c, a in zip(columns, out, strict=True):
                     if a.type != c.arrow:
                         raise pa.ArrowInvalid(f"{c.name} is {a.type}, not {c.arrow}")
+                names = [c.name for c in columns]
+                if o.row_index:
+                    out.append(pa.array(np.arange(at, at + batch.num_rows)))
+                    names.append(ROW_INDEX)
+                at += batch.num_rows
+                made = pa.RecordBatch.from_arrays(out, names=names)
+                for name, op, value in json.loads(o.where):
+                    keeps = mask(made.column(names.index(name)), op, value)
+                    made = made if keeps is None else made.filter(keeps)
             except (OSError, pa.ArrowException, ValueError, IndexError) as e:
                 raise BatchParseError(o.operation, f"{part.path}, batch {i}: {e}") from e
-            names = [c.name for c in columns]
-            if o.row_index:
-                out.append(pa.array(np.arange(at, at + batch.num_rows)))
-                names.append(ROW_INDEX)
-            at += batch.num_rows
-            if batch.num_rows:
-                yield pa.RecordBatch.from_arrays(out, names=names)
+            if made.num_rows:
+                yield made
 
 
 class ArrowReader(DataSourceReader):
@@ -146,44 +181,35 @@ class ArrowReader(DataSourceReader):
         return ranges(self.paths, self.o)
 
     def read(self, partition):
-        with OpenedFile(partition.path, self.o.operation) as f:
-            columns = columns_of(f.schema, self.o)
-        if [(f.name, f.dataType) for f in spark_schema(columns, self.o)] != [(f.name, f.dataType) for f in self.wanted]:
-            raise BatchParseError(self.o.operation, f"{partition.path}: its columns differ from the first file's")
-        yield from decoded(partition, columns, self.o)
+        yield from decoded(partition, self.o, self.wanted)
 
 
 class ArrowStream(DataSourceStreamReader):
-    """A stream over the batches of one file, or of a folder's files: offset = batches seen so far."""
-
-    def __init__(self, path: str, o: Options):
-        self.path, self.o = path, o
+    """A stream over the files of a folder: an offset holds each file's name, size and time."""
 
-    def _all(self) -> list[Range]:
-        out, upto = [], 0
-        for p in data_files(self.path, self.o.operation):
-            with OpenedFile(p, self.o.operation) as f:
-                for b in f.batches(self.o.strict):
-                    out.append(Range(p, b.batch, b.batch + 1, upto + b.row_offset))
-                upto += sum(b.rows for b in f.batches(self.o.strict))
-        return out
+    def __init__(self, path: str, schema: T.StructType, o: Options):
+        self.path, self.o, self.wanted = path, o, schema
 
     def initialOffset(self):
-        return {"batch": 0}
+        return {"files": {}}
 
     def latestOffset(self):
-        return {"batch": len(self._all())}
+        return {"files": stamps(self.path, self.o.operation)}
 
     def partitions(self, start, end):
-        return self._all()[start["batch"] : end["batch"]]
+        new = {n: s for n, s in end["files"].items() if start["files"].get(n) != s}
+        now = stamps(self.path, self.o.operation)
+        lost = [n for n, s in new.items() if now.get(n) != s]
+        if lost:
+            raise OpenError(self.o.operation, f"{self.path}: {lost[0]} went or changed before it was read")
+        in_order = sorted(new, key=lambda n: (int(new[n].split("@")[1]), n))
+        return ranges([n if n == self.path else f"{self.path.rstrip('/')}/{n}" for n in in_order], self.o, within=True)
 
     def commit(self, end):
         pass
 
     def read(self, partition):
-        with OpenedFile(partition.path, self.o.operation) as f:
-            columns = columns_of(f.schema, self.o)
-        yield from decoded(partition, columns, self.o)
+        yield from decoded(partition, self.o, self.wanted)
 
 
 @dataclass
@@ -271,7 +297,7 @@ class ArrowWriter(DataSourceArrowWriter):
 
 
 class ArrowIpcDataSource(DataSource):
-    """spark.read.format("arrow_ipc"): options strict, nanos, time, tz, columns, row_index, target_bytes."""
+    """spark.read.format("arrow_ipc"): options strict, nanos, time, tz, columns, row_index, target_bytes, where (a JSON list of [column, condition, value])."""
 
     @classmethod
     def name(cls):
@@ -291,7 +317,7 @@ class ArrowIpcDataSource(DataSource):
 
     def streamReader(self, schema):
         o = Options.of(self.options)
-        return ArrowStream(self._path(o.operation), o)
+        return ArrowStream(self._path(o.operation), schema, o)
 
     def writer(self, schema, overwrite):
         return ArrowWriter(self._path("arrow_write"), schema, overwrite, self.options)

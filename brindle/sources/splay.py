@@ -6,7 +6,9 @@ The layout is byte for byte that of the compatible column store (little-endian):
     symbols, ``.d``  0xFF 0x01, int16 11, int32 count at 4, then NUL-terminated strings
 
 Values count from 2000-01-01 and have nulls in band. Row order is file order: tasks write chunks of
-each column, and the commit appends them in partition order, a buffer at a time.
+each column, and the commit appends them in partition order, a buffer at a time. Overwriting removes the
+columns that the manifest names and nothing else; appending copies them in front of the new rows, and needs
+the same columns.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
@@ -95,7 +98,7 @@ class Chunk(WriterCommitMessage):
 
 
 class SplayWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, schema: T.StructType, options: dict):
+    def __init__(self, path: str, schema: T.StructType, overwrite: bool, options: dict):
         low = {k.lower(): v for k, v in options.items()}
         self.operation = low.get("operation", "arrow_stream")
         self.path, self.run = plain(path, self.operation), uuid.uuid4().hex[:12]
@@ -106,8 +109,13 @@ class SplayWriter(DataSourceArrowWriter):
         try:
             fs, p = resolve(self.path, self.operation)
             fs.create_dir(p, recursive=True)
+            there = fs.get_file_info(f"{p}/{MANIFEST}").type == pafs.FileType.File
         except OSError as e:
             raise CreateError(self.operation, str(e)) from e
+        self.old = layout(self.path) if there else []
+        self.append = bool(there and not overwrite)
+        if self.append and [(n, c) for n, c, _ in self.old] != list(zip(self.names, self.codes, strict=True)):
+            raise BadArgument(self.operation, f"{self.path} has other columns: {', '.join(n for n, _, _ in self.old)}")
 
     def write(self, iterator):
         from pyspark import TaskContext
@@ -133,33 +141,40 @@ class SplayWriter(DataSourceArrowWriter):
     def commit(self, messages):
         fs, p = resolve(self.path, self.operation)
         parts = sorted((m for m in messages if m is not None), key=lambda m: m.partition)
-        rows = sum(m.rows for m in parts)
+        rows = sum(m.rows for m in parts) + (self.old[0][2] if self.append else 0)
         if rows > 2**31 - 1 and SYMBOL in self.codes:
             raise BatchParseError(self.operation, "more rows than a column of symbols can count")
         for i, (name, code) in enumerate(zip(self.names, self.codes, strict=True)):
             with fs.open_output_stream(f"{p}/_{self.run}-whole-{i}") as out:
                 out.write(header(code, rows))
+                if self.append:
+                    with fs.open_input_file(f"{p}/{name}") as had:
+                        had.seek(SYMBOL_HEADER if code == SYMBOL else HEADER)
+                        while some := had.read(CHUNK):
+                            out.write(some)
                 for m in parts:
                     with fs.open_input_stream(f"{p}/{m.prefix}-{i}") as part:
                         while some := part.read(CHUNK):
                             out.write(some)
         with fs.open_output_stream(f"{p}/_{self.run}-whole-d") as out:
             out.write(header(SYMBOL, len(self.names)) + b"".join(n.encode("utf-8") + b"\0" for n in self.names))
-        self._clean("_", keep=f"_{self.run}-whole-", old=True)
+        for name, _, _ in self.old:
+            fs.delete_file(f"{p}/{name}")
         for i, name in enumerate(self.names):
             fs.move(f"{p}/_{self.run}-whole-{i}", f"{p}/{name}")
+        if self.old:
+            fs.delete_file(f"{p}/{MANIFEST}")
         fs.move(f"{p}/_{self.run}-whole-d", f"{p}/{MANIFEST}")
+        self._clean()
 
     def abort(self, messages):
-        self._clean(f"_{self.run}")
-
-    def _clean(self, prefix: str, keep: str = "\0", old: bool = False):
-        """Removes chunks; with old, also the files of what stood here before."""
-        from pyarrow import fs as pafs
+        self._clean()
 
+    def _clean(self):
+        """Removes this run's chunks."""
         fs, p = resolve(self.path, self.operation)
         for f in fs.get_file_info(pafs.FileSelector(p, allow_not_found=True)):
-            if f.type == pafs.FileType.File and not f.base_name.startswith(keep) and (old or f.base_name.startswith(prefix)):
+            if f.type == pafs.FileType.File and f.base_name.startswith(f"_{self.run}"):
                 fs.delete_file(f.path)
 
 
@@ -318,4 +333,4 @@ class SplayDataSource(DataSource):
         return SplayReader(*self._options())
 
     def writer(self, schema, overwrite):
-        return SplayWriter(self.options.get("path"), schema, self.options)
+        return SplayWriter(self.options.get("path"), schema, overwrite, self.options)

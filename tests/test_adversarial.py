@@ -1,17 +1,22 @@
 """Damaged files: every case gives a named error, and the undamaged one reads."""
 
+import random
+import struct
+
 import pyarrow as pa
 import pytest
-from fixtures import put
+from fixtures import drawn, put, put_cut, supported
 
 import brindle
 from brindle.errors import ArrowIpcError, CompressedBody
+from brindle.functions.metadata import OpenedFile
 
 
 @pytest.fixture(scope="module")
 def good(tmp_path_factory):
-    t = pa.table({"a": pa.array(range(2000)), "s": [f"s{i % 50}" for i in range(2000)], "d": pa.array([f"d{i % 5}" for i in range(2000)]).dictionary_encode()})
-    path = put(tmp_path_factory.mktemp("g") / "x.arrow", t, 3)
+    rng = random.Random("damage")
+    t = pa.table({f"{i}": drawn(rng, k, 480, 0.25) for i, k in enumerate(supported()) if k not in (pa.timestamp("ns"), pa.duration("ns"))})
+    path = put_cut(tmp_path_factory.mktemp("g") / "x.arrow", t, [100, 100, 333])
     return open(path, "rb").read()
 
 
@@ -24,8 +29,8 @@ def _refused(spark, path):
 
 def test_control(spark, good, tmp_path):
     (tmp_path / "x.arrow").write_bytes(good)
-    assert brindle.read_arrow(spark, str(tmp_path / "x.arrow")).count() == 2000
-    assert brindle.stream_arrow(spark, str(tmp_path / "x.arrow"), str(tmp_path / "db"), format="splay") == 2000
+    assert brindle.read_arrow(spark, str(tmp_path / "x.arrow")).count() == 480
+    assert brindle.stream_arrow(spark, str(tmp_path / "x.arrow"), str(tmp_path / "db"), format="splay") == 480
 
 
 def _damaged(data: bytes) -> dict[str, bytes]:
@@ -48,6 +53,44 @@ def test_damage(spark, good, tmp_path):
         assert not (tmp_path / "never").exists(), name
 
 
+def test_batches_that_the_footer_misplaces(spark, tmp_path):
+    """Blocks of the footer that point elsewhere, or say too much."""
+    path = put(tmp_path / "x.arrow", pa.table({"v": pa.array(range(900), pa.int64())}), 3)
+    data = open(path, "rb").read()
+    with OpenedFile(path, "x") as f:
+        blocks = f.blocks()["record batch"]
+        assert len(blocks) == 3 and [f.facts(b, False)[0] for b in blocks] == [300] * 3
+    raw = [struct.pack("<qi4xq", *b) for b in blocks]
+    assert all(data.count(r) == 1 for r in raw)
+    begin, size, body = blocks[1]
+    for k, other in enumerate(((begin + 8, size, body), (begin, size + (1 << 20), body), (begin, size, body + 64), (-8, size, body), (begin, 0, body), (begin, size, 1 << 60), (8, size, body))):
+        bad = tmp_path / f"{k}.arrow"
+        bad.write_bytes(data.replace(raw[1], struct.pack("<qi4xq", *other)))
+        _refused(spark, bad)
+        with pytest.raises(ArrowIpcError):
+            brindle.arrow_batches(str(bad))
+
+
+def test_planning_reads_no_bodies(tmp_path):
+    """Of a file with large batches only the frame, the footer and the batches' metadata are read."""
+    t = pa.table({"v": pa.array(range(1_000_000), pa.int64()), "s": [f"word {i % 1000}" for i in range(1_000_000)]})
+    path = put(tmp_path / "x.arrow", t, 40)
+
+    class Counting:
+        def __init__(self, source):
+            self.source, self.read, self.close = source, 0, source.close
+
+        def read_at(self, n, at):
+            self.read += n
+            return self.source.read_at(n, at)
+
+    with OpenedFile(path, "x") as f:
+        f.source, kept = Counting(f.source), f.source
+        assert [b.rows for b in f.batches()] == [25_000] * 40
+        assert 0 < f.source.read < 60_000 < f.size // 100
+        f.source = kept
+
+
 @pytest.mark.parametrize("codec", ["zstd", "lz4"])
 def test_compressed(spark, tmp_path, codec):
     path = put(tmp_path / "x.arrow", pa.table({"a": list(range(1000)), "d": pa.array(["x"] * 1000).dictionary_encode()}), 2, compression=codec)
@@ -63,7 +106,7 @@ def test_flipped_bytes_never_kill_a_worker(spark, good, tmp_path):
         path = tmp_path / f"{k}.arrow"
         path.write_bytes(good[:k] + bytes([good[k] ^ 0x5A]) + good[k + 1 :])
         try:
-            brindle.read_arrow(spark, str(path)).collect()
+            brindle.read_arrow(spark, str(path)).write.format("noop").mode("overwrite").save()
         except Exception as e:
             assert isinstance(e, ArrowIpcError) or "brindle.errors." in str(e), (k, e)
 

@@ -1,11 +1,13 @@
 """Bounded-memory copies, the column folder, and the stream source."""
 
+import datetime as dt
+import random
 import struct
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from fixtures import collected, expected, put
+from fixtures import collected, drawn, expected, put, put_cut, supported
 from pyspark.sql import functions as F
 
 import brindle
@@ -14,35 +16,30 @@ from brindle.sources import splay
 
 
 def _table():
-    n = 10_000
-    ns = 1_577_836_800_000_000_000
-    return pa.table(
-        {
-            "d": pa.array([f"d{i % 5}" for i in range(n)]).dictionary_encode(),
-            "s": [None if i % 7 == 0 else f"s{i % 100}" for i in range(n)],
-            "i": pa.array([None if i % 11 == 0 else i % 1000 for i in range(n)], pa.int32()),
-            "p": pa.array([None if i % 13 == 0 else ns + i * 10**9 + i % 999 for i in range(n)], pa.timestamp("ns")),
-            "e": pa.array([float(i % 97) for i in range(n)], pa.float32()),
-            "h": pa.array([None if i % 17 == 0 else i % 100 for i in range(n)], pa.int16()),
-        }
-    )
+    """Every type that a column folder can hold."""
+    rng = random.Random("splay")
+    return pa.table({f"c {i}": pa.concat_arrays([drawn(rng, k, 431, 0.3)] * 3) if not pa.types.is_dictionary(k) else drawn(rng, k, 1293, 0.3) for i, k in enumerate(supported())})
 
 
 @pytest.fixture(scope="module")
 def source(tmp_path_factory):
-    return put(tmp_path_factory.mktemp("s") / "x.arrow", _table(), 6)
+    return put_cut(tmp_path_factory.mktemp("s") / "x.arrow", _table(), [7, 500, 1292])
 
 
 def test_to_parquet(spark, source, tmp_path):
-    assert brindle.stream_arrow(spark, source, str(tmp_path / "pq"), nanos="truncate") == 10_000
-    assert spark.read.parquet(str(tmp_path / "pq")).agg(F.count("*"), F.sum("h")).first()[0] == 10_000
+    assert brindle.stream_arrow(spark, source, str(tmp_path / "pq"), nanos="truncate") == 1293
+    back, want = spark.read.parquet(str(tmp_path / "pq")), _table()
+    assert back.columns == want.column_names
+    at = [n for n in want.column_names if pa.types.is_integer(want.column(n).type) and want.column(n).type != pa.uint8()]
+    assert len(at) == 3 and [back.agg(F.sum(F.col(f"`{n}`").cast("decimal(38,0)"))).first()[0] for n in at] == [sum(x for x in expected(want.column(n)) if x is not None) for n in at]
 
 
 def test_to_splay_and_back(spark, source, tmp_path):
     t, to = _table(), str(tmp_path / "db")
-    assert brindle.stream_arrow(spark, source, to, format="splay") == 10_000
+    assert brindle.stream_arrow(spark, source, to, format="splay") == 1293
+    ticks = lambda cols: [[((v.hour * 60 + v.minute) * 60 + v.second) * 1000 + v.microsecond // 1000 if isinstance(v, dt.time) else v for v in c] for c in cols]
     got = collected(brindle.read_splay(spark, to, nanos="long", row_index=True), t.column_names)
-    assert got == [expected(t.column(n)) for n in t.column_names]
+    assert ticks(got) == [expected(t.column(n)) for n in t.column_names]
     brindle.write_arrow(brindle.read_splay(spark, to, nanos="long", row_index=True).orderBy("__row_index").drop("__row_index"), str(tmp_path / "y.arrow"))
     again = collected(brindle.read_arrow(spark, str(tmp_path / "y.arrow"), nanos="long", row_index=True), t.column_names)
     assert again == got
@@ -60,10 +57,27 @@ def test_splay_bytes(spark, tmp_path):
     assert {p.name: p.read_bytes() for p in to.iterdir() if not p.name.endswith(".crc")} == want
 
 
-def test_two_batches_of_one_row(spark, tmp_path):
-    path = put(tmp_path / "x.arrow", pa.table({"j": pa.array([7, 8]), "s": ["one", "two"]}), 2)
-    assert brindle.stream_arrow(spark, path, str(tmp_path / "db"), format="splay") == 2
-    assert collected(brindle.read_splay(spark, str(tmp_path / "db"), row_index=True), ["j", "s"]) == [[7, 8], ["one", "two"]]
+def test_batches_without_rows_between_others(spark, tmp_path):
+    path = put_cut(tmp_path / "x.arrow", pa.table({"w": ["α", "", "γ γ"], "k": pa.array([None, -1, 5], pa.int16())}), [0, 1, 1, 1, 3])
+    assert brindle.stream_arrow(spark, path, str(tmp_path / "db"), format="splay") == 3
+    assert collected(brindle.read_splay(spark, str(tmp_path / "db"), row_index=True), ["w", "k"]) == [["α", "", "γ γ"], [None, -1, 5]]
+
+
+def test_splay_appends_and_leaves_other_files_alone(spark, tmp_path):
+    to = tmp_path / "db"
+    one = spark.createDataFrame([(1, "a", 0.5), (2, None, None)], "i int, s string, x double").coalesce(1)
+    brindle.write_splay(one, str(to), mode="append")
+    (to / "notes.txt").write_text("keep me")
+    two = spark.createDataFrame([(3, "c", 1.5)], one.schema).coalesce(1)
+    two.write.format("splay").mode("append").save(str(to))
+    rows = lambda: collected(brindle.read_splay(spark, str(to), row_index=True), ["i", "s", "x"])
+    assert rows() == [[1, 2, 3], ["a", "", "c"], [0.5, None, 1.5]]
+    with pytest.raises(Exception, match="other columns"):
+        brindle.write_splay(spark.range(3), str(to), mode="append")
+    assert len(rows()[0]) == 3
+    brindle.write_splay(spark.range(2).coalesce(1), str(to))
+    assert collected(brindle.read_splay(spark, str(to), row_index=True), ["id"]) == [[0, 1]]
+    assert sorted(p.name for p in to.iterdir() if not p.name.endswith(".crc")) == [".d", "id", "notes.txt"] and (to / "notes.txt").read_text() == "keep me"
 
 
 def test_splay_partitions_at_string_ends(spark, tmp_path, monkeypatch):
@@ -97,16 +111,48 @@ def test_damaged_folders(spark, tmp_path):
         splay.payload(pa.array(["a\0b"]), splay.SYMBOL, "x")
 
 
-def test_stream_source_takes_batches_once(spark, tmp_path):
+@pytest.fixture
+def streamed(spark, tmp_path):
+    """(the folder, a run until nothing is left that returns the sorted values so far)"""
     folder, out, mark = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "mark")
     folder.mkdir()
-    put(folder / "a.arrow", pa.table({"v": pa.array(range(1000))}), 10)
+    put(folder / "m.arrow", pa.table({"v": pa.array(range(1000))}), 10)
 
     def run():
         q = brindle.read_arrow_stream(spark, str(folder)).writeStream.format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start()
         q.awaitTermination()
-        return spark.read.schema("v long").parquet(out).agg(F.count("*"), F.sum("v")).first()[:]
+        return sorted(r.v for r in spark.read.schema("v long").parquet(out).collect())
+
+    return folder, run
+
+
+def test_stream_source_takes_every_file_once_whatever_its_name(streamed):
+    folder, run = streamed
+    assert run() == list(range(1000))
+    put(folder / "a.arrow", pa.table({"v": pa.array(range(1000, 1400))}), 2)  # before the first by name
+    put(folder / "z.arrow", pa.table({"v": pa.array(range(1400, 1500))}), 2)
+    assert run() == list(range(1500)) == run()
+    (folder / "m.arrow").unlink()  # read, so it may go
+    put(folder / "c.arrow", pa.table({"v": pa.array([1500])}))
+    assert run() == list(range(1501))
 
-    assert run() == (1000, 499_500)
-    put(folder / "b.arrow", pa.table({"v": pa.array(range(1000, 1500))}), 2)
-    assert run() == (1500, 1_124_250)
+
+def test_stream_source_of_a_folder_that_is_appended_to(spark, streamed):
+    folder, run = streamed
+    upto = 1000
+    for n in (40, 3, 700):
+        brindle.write_arrow(spark.range(upto, upto + n, 1, 3).select(F.col("id").alias("v")), str(folder), mode="append")
+        upto += n
+        assert run() == list(range(upto))
+
+
+def test_copy_of_very_many_files_is_checked_in_tasks(spark, tmp_path, monkeypatch):
+    from brindle.operators import interchange
+
+    monkeypatch.setattr(interchange, "MANY", 3)
+    for i in range(8):
+        put(tmp_path / f"in{i}.arrow", pa.table({"v": pa.array([i, i + 1])}))
+    assert brindle.stream_arrow(spark, str(tmp_path), f"{tmp_path}-out") == 16
+    put(tmp_path / "in3.arrow", pa.table({"v": pa.array([[1]])}))
+    with pytest.raises(UnsupportedColumn):
+        brindle.stream_arrow(spark, str(tmp_path), f"{tmp_path}-never")
