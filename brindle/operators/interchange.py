@@ -22,10 +22,10 @@ from pyspark.sql import functions as F
 from ..errors import ArrowIpcError, BadArgument, CreateError
 from ..functions import nulls as null_forms
 from ..functions.metadata import BatchInfo, OpenedFile
-from ..functions.paths import SUFFIXES, data_files, plain, qualified, resolve
+from ..functions.paths import SUFFIXES, data_files, open_file, plain, qualified, resolve
 from ..functions.times import ntz_of_micros
 from ..functions.types import spark_to_arrow
-from ..sources.arrow_ipc import CONDITIONS, MANY, ROW_INDEX, ArrowIpcDataSource, Options, columns_of
+from ..sources.arrow_ipc import BATCH_BYTES, BATCH_ROWS, CONDITIONS, MANY, ROW_INDEX, ArrowIpcDataSource, Options, columns_of
 from ..sources.splay import SplayDataSource, code_of, layout
 
 
@@ -94,8 +94,8 @@ def _make(folder: str, operation: str) -> None:
 def write_arrow(df: DataFrame, path: str, *, single_file: bool | None = None, batch_rows: int | None = None, nulls: str = "compat", strict: bool = True, mode: str = "overwrite") -> str:
     """Writes df and returns the path.
 
-    single_file (the default for a path that ends in .arrow, .feather or .ipc) gives one file, made
-    by one task; otherwise every task writes a part into a folder. A list column needs strict=False.
+    single_file (the default for a path that ends in .arrow, .feather or .ipc) gives one file: one
+    task joins the parts that all tasks have written. Otherwise the parts stay, in a folder. A list column needs strict=False.
     In compat form NaN and the least integers are written as nulls.
     """
     operation = "arrow_write"
@@ -122,11 +122,13 @@ def write_arrow(df: DataFrame, path: str, *, single_file: bool | None = None, ba
         if fs.get_file_info(p).type == pafs.FileType.Directory:
             raise CreateError(operation, f"{path} is a folder")
         _make(folder, operation)
-        # sorting by nothing: one task reads the parts in order
-        df.coalesce(1).write.format("arrow_ipc").options(**options).mode("append").save(folder)
-        made = [f for f in fs.get_file_info(pafs.FileSelector(q)) if f.base_name.startswith("part-")]
-        if made:
-            fs.move(made[0].path, p)
+        df.write.format("arrow_ipc").options(**options).mode("append").save(folder)
+        made = sorted(f.base_name for f in fs.get_file_info(pafs.FileSelector(q)) if f.base_name.startswith("part-"))
+        if len(made) == 1:
+            fs.move(f"{q}/{made[0]}", p)
+        elif made:
+            _joined(df.sparkSession, folder, made, batch_rows or BATCH_ROWS)
+            fs.move(f"{q}/{WHOLE}", p)
         else:  # no task, no rows
             schema = pa.schema([spark_to_arrow(f, strict=strict) for f in df.schema])
             with fs.open_output_stream(p) as out, pa.ipc.new_file(out, schema):
@@ -139,6 +141,51 @@ def write_arrow(df: DataFrame, path: str, *, single_file: bool | None = None, ba
     return told
 
 
+WHOLE = "_whole.arrow"
+
+
+def _joined(spark: SparkSession, folder: str, parts: list[str], batch_rows: int) -> None:
+    """The folder's parts, in order, as one file of batches of batch_rows: one task moves their buffers, a batch at a time, without decoding them."""
+
+    def run(batches):
+        for _ in batches:
+            fs, p = resolve(folder, "arrow_write")
+            held, n, size, rows, sink = [], 0, 0, 0, None
+            with fs.open_output_stream(f"{p}/{WHOLE}") as out:
+
+                def flush(sink, held):
+                    for b in pa.Table.from_batches(held).combine_chunks().to_batches():
+                        sink.write_batch(b)
+
+                for name in parts:
+                    with open_file(f"{folder}/{name}", "arrow_write") as source:
+                        reader = pa.ipc.open_file(source)
+                        sink = sink or pa.ipc.new_file(out, reader.schema)
+                        for i in range(reader.num_record_batches):
+                            b = reader.get_batch(i)
+                            rows += b.num_rows
+                            while b.num_rows:
+                                some = b.slice(0, batch_rows - n)
+                                if held and size + some.nbytes > BATCH_BYTES:
+                                    flush(sink, held)
+                                    held, n, size = [], 0, 0
+                                    continue
+                                held.append(some)
+                                n, size, b = n + some.num_rows, size + some.nbytes, b.slice(some.num_rows)
+                                if n == batch_rows:
+                                    flush(sink, held)
+                                    held, n, size = [], 0, 0
+                        if held:  # what goes on in the next part must outlive this one's map
+                            held = pa.Table.from_batches(held).combine_chunks().to_batches()
+                            held = [pa.record_batch([pa.concat_arrays([c, c.slice(0, 0)]) for c in b.columns], schema=b.schema) for b in held]
+                if held:
+                    flush(sink, held)
+                sink.close()
+            yield pa.RecordBatch.from_arrays([pa.array([rows], pa.int64())], names=["rows"])
+
+    spark.range(0, 1, 1, 1).mapInArrow(run, "rows long").collect()
+
+
 def stream_arrow(spark: SparkSession, src: str, dst: str, *, format: str = "parquet", nulls: str = "compat", nanos: str | None = None) -> int:
     """Copies an Arrow file into a folder with memory for one batch in each task; returns the rows written.
 
