@@ -51,11 +51,11 @@ HOT = 4096
 NEAR = 7  # bits that near copies may differ in, for dedup
 WORDS = 5  # of the shingles that dedup verifies by
 SIMILAR = 0.8
-BLOCK = 2048  # texts of a component that are verified at once
+BLOCK = 512  # texts of a component that are verified at once
 CENTRES = 2_000  # up to so many centres are broadcast, if their shingles are at most
 CENTRE_WORDS = 4_000_000
 SAMPLE = 20_000  # fingerprints from which candidate counts are estimated
-ROW_COST, PAIR_COST = 2e-6, 2e-8  # seconds for a row that is dealt out, for a pair that is compared
+ROW_COST, PAIR_COST = 2.6e-6, 9e-9  # seconds of a core for a row that is dealt out, for a pair that is compared; measured on one machine
 
 
 def split(text: str | None) -> list[bytes]:
@@ -162,19 +162,22 @@ def _flips(bits: list[int], t: int) -> np.ndarray:
     return np.array([_mask(list(c)) for r in range(t + 1) for c in combinations(bits, r)], np.uint64)
 
 
-def costs(sample: np.ndarray, n: int, bits: list[int]) -> dict[int, float]:
-    """Estimated seconds of using a part with threshold t: rows dealt out and candidate pairs compared."""
+def costs(sample: np.ndarray, n: int, bits: list[int], k: int) -> dict[int, float]:
+    """Estimated seconds of using a part with threshold t: rows dealt out, and stored rows compared with all rows of their value, or dealt out anew where these are more than HOT."""
     values, counts = np.unique(sample & np.uint64(_mask(bits)), return_counts=True)
-    scale, out = (n / max(1, len(sample))) ** 2, {-1: 0.0}
+    scale, out = n / max(1, len(sample)), {-1: 0.0}
     for t in (0, 1, 2):
         flips = _flips(bits, t)
         if len(flips) > 600:
             break
-        pairs = 0.0
-        for f in flips:
-            at = np.minimum(np.searchsorted(values, values ^ f), len(values) - 1) if len(values) else np.zeros(0, np.int64)
-            pairs += float((counts * np.where(values[at] == values ^ f, counts[at], 0)).sum())
-        out[t] = n * len(flips) * ROW_COST + pairs * scale * PAIR_COST
+        probes = np.zeros(len(values), np.int64)
+        for f in flips[1:] if len(values) else []:
+            at = np.minimum(np.searchsorted(values, values ^ f), len(values) - 1)
+            probes += np.where(values[at] == values ^ f, counts[at], 0)
+        hot = (counts + probes) * scale > HOT
+        pairs = float((counts * (counts / 2 + probes))[~hot].sum())
+        again = float((counts + probes)[hot].sum()) * (k + 1)
+        out[t] = (n * len(flips) + again * scale) * ROW_COST + pairs * scale**2 * PAIR_COST
     return out
 
 
@@ -200,7 +203,7 @@ def plan(fps: DataFrame, k: int = K) -> list[tuple[int, int]]:
     tried = []
     for m in range(2, k + 4):
         parts = parts_of(corr, m)
-        cost, ts = allocate([costs(sample, n, p) for p in parts], k - m + 1)
+        cost, ts = allocate([costs(sample, n, p, k) for p in parts], k - m + 1)
         if ts:
             tried.append((cost, m, [(_mask(p), t) for p, t in zip(parts, ts, strict=True) if t >= 0]))
     return min(tried)[2]
@@ -270,14 +273,13 @@ def _compare(fps: np.ndarray, probe: np.ndarray, starts: np.ndarray, lengths: np
             forest.join(x, y)
         d += 1
     for s, n in zip(starts[~short].tolist(), lengths[~short].tolist(), strict=True):
-        own, asks = fps[s : s + n], probe[s : s + n]
-        kept, keeps = own, asks
-        for lo in range(0, n, 256):
-            hit = np.bitwise_count(own[lo : lo + 256, None] ^ kept[None, lo:]) <= k
-            hit &= ~(asks[lo : lo + 256, None] & keeps[None, lo:])
-            x, y = np.nonzero(hit)
+        asks = probe[s : s + n]
+        stored = fps[s : s + n][~asks]
+        own = np.concatenate((stored, fps[s : s + n][asks]))
+        for lo in range(0, len(stored), 256):  # probes needn't be compared with each other
+            x, y = np.nonzero(np.bitwise_count(stored[lo : lo + 256, None] ^ own[None, lo:]) <= k)
             good = y > x
-            for p, q in zip(own[lo + x[good]].view(np.int64).tolist(), kept[lo + y[good]].view(np.int64).tolist(), strict=True):
+            for p, q in zip(stored[lo + x[good]].view(np.int64).tolist(), own[lo + y[good]].view(np.int64).tolist(), strict=True):
                 forest.join(p, q)
 
 
